@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from murmur.plans import reports
+from murmur.plans import metrics, reports
 from murmur.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +40,82 @@ def q_raw_titles_latest(spark: SparkSession, d: str) -> DataFrame:
 @query("video_stats_latest")
 def q_video_stats_latest(spark: SparkSession, d: str) -> DataFrame:
     return reports.video_stats_latest(fx.video_stats(spark, d))
+
+
+def _f5(spark: SparkSession, d: str) -> DataFrame:
+    return reports.latest_model_insights(fx.insights(spark, d), fx.curated(spark, d))
+
+
+def _report(spark: SparkSession, d: str) -> DataFrame:
+    return q_comment_insights_report(spark, d)
+
+
+def _aspect_report(spark: SparkSession, d: str) -> DataFrame:
+    return reports.aspect_sentiment_report(fx.insights(spark, d), fx.video_stats(spark, d))
+
+
+def _videos(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.video_list(fx.curated(spark, d), fx.raw_comments(spark, d), fx.video_stats(spark, d))
+
+
+@query("aspect_sentiment_report")
+def q_aspect_sentiment_report(spark: SparkSession, d: str) -> DataFrame:
+    return _aspect_report(spark, d)
+
+
+@query("video_insights_latest_model")
+def q_video_insights_latest_model(spark: SparkSession, d: str) -> DataFrame:
+    return _f5(spark, d).select(
+        "video_id", "comment_id", "model_name", "general_sentiment", "topic",
+        F.size("aspects").alias("n_aspects"), "purchase_intent", "is_question", "competitor_mention",
+        "text_clean", "is_reply", "author_channel_id", "channel_id")
+
+
+@query("video_list")
+def q_video_list(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.video_list_ordered(_videos(spark, d))
+
+
+@query("sentiment_distribution")
+def q_sentiment_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.sentiment_distribution(_f5(spark, d))
+
+
+@query("topic_top10")
+def q_topic_top10(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.topic_top(_f5(spark, d), 10)
+
+
+@query("aspect_sentiment_pivot")
+def q_aspect_sentiment_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.aspect_sentiment_pivot_ordered(metrics.aspect_sentiment_pivot(_f5(spark, d)))
+
+
+@query("comments_by_sentiment")
+def q_comments_by_sentiment(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.comments_by_sentiment(_f5(spark, d), "negative")
+
+
+@query("video_summary")
+def q_video_summary(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.video_summary(_f5(spark, d), _videos(spark, d))
+
+
+@query("channel_engagement")
+def q_channel_engagement(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.channel_engagement(_report(spark, d))
+
+
+@query("signal_totals")
+def q_signal_totals(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.signal_totals(_report(spark, d))
+
+
+@query("report_rollup")
+def q_report_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.report_rollup(_report(spark, d))
+
+
+@query("label_coverage")
+def q_label_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return metrics.label_coverage(_report(spark, d), _aspect_report(spark, d))

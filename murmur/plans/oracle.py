@@ -211,3 +211,136 @@ def register(key: str, body: str) -> None:
 register("comment_insights_report", "SELECT * FROM report")
 register("raw_titles_latest", "SELECT * FROM raw_titles")
 register("video_stats_latest", "SELECT * FROM stats_latest")
+
+
+# -- aspect report, newest-model rows, dashboard aggregates --------------------
+
+CTES["latest_aspect_run"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY video_id, comment_id
+                               ORDER BY inference_ts DESC NULLS LAST, run_seq DESC NULLS LAST) AS rn
+  FROM insights WHERE aspects IS NOT NULL AND len(aspects) > 0) WHERE rn = 1"""
+
+CTES["aspect_report"] = """
+SELECT l.comment_id, l.video_id, l.channel_id, l.model_name,
+       l.general_sentiment AS comment_sentiment, l.topic AS comment_topic,
+       l.a.aspect AS aspect, l.a.sentiment AS aspect_sentiment, l.a.evidence AS evidence,
+       COALESCE(s.video_title, l.video_id) AS video_title,
+       COALESCE(s.channel_title, l.channel_id) AS channel_title
+FROM (SELECT *, unnest(aspects) AS a FROM latest_aspect_run) l
+LEFT JOIN stats_latest s ON l.video_id = s.video_id AND l.channel_id = s.channel_id"""
+
+CTES["newest_model"] = """
+SELECT video_id, model_name FROM (
+  SELECT video_id, model_name,
+         row_number() OVER (PARTITION BY video_id ORDER BY mt DESC NULLS LAST, model_name ASC NULLS LAST) AS rn
+  FROM (SELECT video_id, model_name, max(inference_ts) AS mt FROM insights GROUP BY video_id, model_name))
+WHERE rn = 1"""
+
+CTES["f5"] = """
+SELECT p.video_id, p.comment_id, p.model_name, p.general_sentiment, p.topic, p.aspects,
+       p.purchase_intent, p.is_question, p.competitor_mention,
+       c.text_clean, c.is_reply, c.author_channel_id, c.channel_id
+FROM insights p
+JOIN newest_model m ON p.video_id = m.video_id AND p.model_name = m.model_name
+JOIN curated c ON p.comment_id = c.comment_id"""
+
+CTES["video_list"] = """
+SELECT a.video_id, a.channel_id, a.n_comments,
+       COALESCE(t.vt, a.video_id) AS video_title, COALESCE(t.ct, a.channel_id) AS channel_title,
+       s.view_count, s.like_count, s.video_published_at AS published_at
+FROM (SELECT video_id, channel_id, count(DISTINCT comment_id) AS n_comments
+      FROM curated GROUP BY video_id, channel_id) a
+LEFT JOIN (SELECT video_id, channel_id, max(video_title) AS vt, max(channel_title) AS ct
+           FROM raw_comments GROUP BY video_id, channel_id) t
+       ON a.video_id = t.video_id AND a.channel_id = t.channel_id
+LEFT JOIN stats_latest s ON a.video_id = s.video_id AND a.channel_id = s.channel_id"""
+
+register("aspect_sentiment_report", "SELECT * FROM aspect_report")
+
+register("video_insights_latest_model", """
+SELECT video_id, comment_id, model_name, general_sentiment, topic,
+       CAST(len(aspects) AS INTEGER) AS n_aspects, purchase_intent, is_question, competitor_mention,
+       text_clean, is_reply, author_channel_id, channel_id
+FROM f5""")
+
+register("video_list", "SELECT * FROM video_list")
+
+register("sentiment_distribution", """
+SELECT video_id, general_sentiment AS sentiment, count(*) AS "count"
+FROM f5 WHERE general_sentiment IS NOT NULL GROUP BY ALL""")
+
+register("topic_top10", """
+SELECT * FROM (
+  SELECT video_id, topic, "count",
+         row_number() OVER (PARTITION BY video_id ORDER BY "count" DESC, topic ASC) AS rank
+  FROM (SELECT video_id, topic, count(*) AS "count" FROM f5 WHERE topic IS NOT NULL GROUP BY ALL))
+WHERE rank <= 10""")
+
+register("aspect_sentiment_pivot", """
+SELECT video_id, aspect,
+       count(*) FILTER (WHERE sentiment = 'positive') AS positive,
+       count(*) FILTER (WHERE sentiment = 'negative') AS negative,
+       count(*) FILTER (WHERE sentiment = 'neutral') AS neutral,
+       count(*) FILTER (WHERE sentiment = 'mixed') AS mixed
+FROM (SELECT video_id, a.aspect AS aspect, a.sentiment AS sentiment
+      FROM (SELECT video_id, unnest(aspects) AS a FROM f5))
+WHERE aspect IS NOT NULL AND sentiment IS NOT NULL
+GROUP BY video_id, aspect""")
+
+register("comments_by_sentiment", """
+SELECT video_id, general_sentiment AS sentiment, topic, text_clean AS comment_text, purchase_intent
+FROM f5 WHERE general_sentiment = 'negative'""")
+
+register("video_summary", """
+SELECT a.video_id, v.channel_id, v.video_title, v.channel_title, a.n_analysed,
+       CASE WHEN a.n_analysed > 0
+            THEN CAST(round_even(CAST(100 AS DOUBLE) * a.n_positive / a.n_analysed, 0) AS BIGINT)
+            ELSE 0 END AS positive_pct,
+       COALESCE(format('{:,}', v.view_count), '—') AS views,
+       COALESCE(format('{:,}', v.like_count), '—') AS likes,
+       COALESCE(strftime(v.published_at, '%Y-%m-%d'), '—') AS published
+FROM (SELECT video_id, count(*) AS n_analysed,
+             count(*) FILTER (WHERE general_sentiment = 'positive') AS n_positive
+      FROM f5 GROUP BY video_id) a
+LEFT JOIN (SELECT * EXCLUDE (rn) FROM (
+             SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY n_comments DESC, channel_id ASC) AS rn
+             FROM video_list) WHERE rn = 1) v
+       ON a.video_id = v.video_id""")
+
+register("channel_engagement", """
+SELECT video_id, channel_id, count(*) AS n_comments,
+       count(*) FILTER (WHERE comment_type = 'Top-level') AS n_top_level,
+       count(*) FILTER (WHERE comment_type = 'Reply') AS n_replies,
+       count(*) FILTER (WHERE comment_type = 'Creator reply') AS n_creator_replies,
+       count(*) FILTER (WHERE is_creator_reply) AS n_creator_authored
+FROM report GROUP BY video_id, channel_id""")
+
+register("signal_totals", """
+SELECT video_id, count(*) AS n_comments,
+       count(*) FILTER (WHERE purchase_intent) AS n_purchase_intent,
+       count(*) FILTER (WHERE is_question) AS n_questions,
+       count(*) FILTER (WHERE competitor_mention) AS n_competitor_mentions,
+       count(*) FILTER (WHERE intent_category = 'Complaint') AS n_complaints
+FROM report GROUP BY video_id""")
+
+register("report_rollup", """
+SELECT 'video_title' AS dimension, video_title AS value, count(*) AS record_count FROM report GROUP BY 2
+UNION ALL SELECT 'topic', topic, count(*) FROM report GROUP BY 2
+UNION ALL SELECT 'general_sentiment', general_sentiment, count(*) FROM report GROUP BY 2
+UNION ALL SELECT 'comment_type', comment_type, count(*) FROM report GROUP BY 2
+UNION ALL SELECT 'intent_category', intent_category, count(*) FROM report GROUP BY 2""")
+
+register("label_coverage", """
+SELECT COALESCE(t.video_id, a.video_id) AS video_id,
+       COALESCE(t.n_comments, 0) AS n_comments, COALESCE(t.n_offtopic, 0) AS n_offtopic,
+       COALESCE(t.n_topic_missing, 0) AS n_topic_missing,
+       COALESCE(a.n_aspects, 0) AS n_aspects, COALESCE(a.n_other_aspects, 0) AS n_other_aspects
+FROM (SELECT video_id, count(*) AS n_comments,
+             count(*) FILTER (WHERE topic = 'offtopic') AS n_offtopic,
+             count(*) FILTER (WHERE topic IS NULL) AS n_topic_missing
+      FROM report GROUP BY video_id) t
+FULL OUTER JOIN (SELECT video_id, count(*) AS n_aspects,
+                        count(*) FILTER (WHERE aspect = 'other') AS n_other_aspects
+                 FROM aspect_report GROUP BY video_id) a
+  ON t.video_id = a.video_id""")

@@ -148,7 +148,8 @@ def latest_model_insights(insights: DataFrame, curated: DataFrame, video_id: str
     if video_id is not None:
         p = p.where(F.col("video_id") == F.lit(video_id))
     p = p.select("video_id", "comment_id", "model_name", "general_sentiment", "topic", "aspects",
-                 "purchase_intent", "is_question", "competitor_mention")
+                 "purchase_intent", "is_question", "competitor_mention", "inference_ts")
     best = latest_model_per_video(p)
+    p = p.drop("inference_ts")
     c = curated.select("comment_id", "text_clean", "is_reply", "author_channel_id", "channel_id")
     return p.join(best, ["video_id", "model_name"], "inner").join(c, "comment_id", "inner")

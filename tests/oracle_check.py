@@ -99,7 +99,7 @@ if __name__ == "__main__":
         try:
             r = compare(spark, k, sf, con)
         except Exception as e:  # report and continue with the next key
-            r = {"key": k, "error": repr(e)[:800]}
+            r = {"key": k, "error": (str(e).strip().splitlines() or [repr(e)])[0][:600]}
         ok = r.get("values_match") and r.get("spark_rows") == r.get("duck_rows")
         bad += 0 if ok or r.get("oracle") == "none" else 1
         print(("OK  " if ok else "--  ") + str(r), flush=True)
