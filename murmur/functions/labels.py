@@ -65,8 +65,12 @@ def to_bool(v: Column) -> Column:
 
 
 def lenient_long(c: Column) -> Column:
-    """Counter text -> bigint: commas dropped, surrounding blanks ignored, junk -> 0."""
-    return F.coalesce(F.regexp_replace(c, ",", "").try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Counter text -> bigint like Python ``int(str(v).replace(',', ''))``: surrounding
+    blanks and a sign allowed, '_' between digits allowed, anything else (incl.
+    '12.5') -> 0; NULL -> 0."""
+    t = F.regexp_replace(c, ",", "")
+    t = F.when(t.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"), F.regexp_replace(t, "_", ""))
+    return F.coalesce(t.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 # -- report columns ----------------------------------------------------------

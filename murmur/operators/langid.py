@@ -11,12 +11,11 @@ Model (a rank-weighted trigram profile in the spirit of Cavnar & Trenkle,
   becomes a partial WindowGroupLimit before the shuffle) -> weight
   ``K + 1 - rank``.  The model holds at most ``K x languages`` rows whatever
   the amount of training text, which is what makes it safe to broadcast.
-* predict: a pure projection.  The model is folded into one map literal
-  (gram -> per-language weights) by a scalar subquery, evaluated once and
-  shipped to every task; each row sums the weights of its trigrams with
-  higher-order functions and takes the arg-max (ties -> smaller language
-  code).  No shuffle of the scored rows, and when the language column is not
-  selected downstream, column pruning removes the model from the plan.
+* predict: explode trigrams -> broadcast hash join with the model (bounded
+  size) -> partial-aggregated weight sums per (row key, language) -> arg-max
+  (ties -> smaller language code) -> left join back to the rows.  Only the
+  per-row sums are shuffled before the join back; when the language is not
+  selected downstream, Catalyst drops the join and the model altogether.
 
 Integer weights keep the result exact, so a SQL oracle can repeat it.
 """
@@ -32,64 +31,83 @@ GRAM = 3
 PROFILE_SIZE = 400
 
 
-def char_grams(text: Column, n: int = GRAM) -> Column:
-    """All character n-grams of ' ' + text + ' ' (code points), in order."""
+CHARS = "_chars"
+
+
+def code_points(text: Column) -> Column:
+    """' ' + text + ' ' as an array of code points (regex split between any two characters)."""
     padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
-    length = F.char_length(padded)
-    grams = F.transform(F.sequence(F.lit(1), length - n + 1), lambda i: F.substring(padded, i, n))
-    return F.when(length >= n, grams).otherwise(F.array().cast("array<string>"))
+    return F.split(padded, r"(?s)(?<=.)(?=.)")
+
+
+def grams_of(chars: Column, n: int = GRAM) -> Column:
+    """All n-grams of a code-point array column, in order.
+
+    ``chars`` must be a column reference (materialised by an earlier
+    projection): an expression referenced inside a lambda is re-evaluated per
+    element, which would make this quadratic in the text length.
+    """
+    size = F.size(chars)
+    grams = F.transform(F.sequence(F.lit(1), size - n + 1),
+                        lambda i: F.concat(*[F.element_at(chars, i + j) for j in range(n)]))
+    return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def explode_grams(df: DataFrame, text_col: str, keep: list[str], n: int = GRAM) -> DataFrame:
+    """(keep..., gram) for every character n-gram of ``text_col``; linear in text length."""
+    return (df.select(*keep, code_points(F.col(text_col)).alias(CHARS))
+            .select(*keep, F.explode(grams_of(F.col(CHARS), n)).alias("gram")))
 
 
 def fit(examples: DataFrame, text_col: str = "text_clean", lang_col: str = "lang",
         profile_size: int = PROFILE_SIZE) -> DataFrame:
     """(lang, gram, weight) for the top ``profile_size`` trigrams of each language."""
-    counts = (examples
-              .where(F.col(lang_col).isNotNull())
-              .select(F.col(lang_col).alias("lang"), F.explode(char_grams(F.col(text_col))).alias("gram"))
-              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")))
+    labelled = examples.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text_col)
+    counts = explode_grams(labelled, text_col, ["lang"]).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("gram").asc())
     return (counts.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= profile_size)
             .select("lang", "gram", (F.lit(profile_size + 1) - F.col("rank")).cast("bigint").alias("weight")))
 
 
-def _packed(model: DataFrame) -> tuple[Column, Column]:
-    """Two scalar subqueries over the model: sorted language codes, and a map
-    gram -> (lang -> weight).  Both are bounded by ``K x languages`` entries."""
-    langs = model.select(F.array_sort(F.collect_set("lang")).alias("langs"))
-    per_gram = (model.groupBy("gram")
-                .agg(F.map_from_entries(F.collect_list(F.struct("lang", "weight"))).alias("m")))
-    packed = per_gram.select(F.map_from_entries(F.collect_list(F.struct("gram", "m"))).alias("profile"))
-    return langs.scalar(), packed.scalar()
-
-
-MODEL_COLS = ("_lid_langs", "_lid_profile")
-
-
-def attach_model(df: DataFrame, model: DataFrame) -> DataFrame:
-    """Add the packed model as two constant columns (scalar subqueries run once)."""
-    langs, profile = _packed(model)
-    return df.withColumn(MODEL_COLS[0], langs).withColumn(MODEL_COLS[1], profile)
-
-
-def predict_attached(text: Column) -> Column:
-    """Language code of ``text`` on a frame prepared by ``attach_model``;
-    'unknown' when shorter than 5 code points or when no trigram is known."""
-    langs, profile = F.col(MODEL_COLS[0]), F.col(MODEL_COLS[1])
-    zero = F.lit(0).cast("bigint")
-    per_gram = F.transform(char_grams(text), lambda g: F.element_at(profile, g))
-    scores = F.aggregate(
-        per_gram, F.transform(langs, lambda _l: zero),
-        lambda acc, m: F.when(m.isNull(), acc).otherwise(
-            F.zip_with(acc, langs, lambda s, lang: s + F.coalesce(F.element_at(m, lang), zero))))
-    ranked = F.array_sort(F.zip_with(scores, langs, lambda s, lang: F.struct((-s).alias("neg"),
-                                                                              lang.alias("lang"))))
-    best = F.element_at(ranked, 1)
-    return (F.when(F.coalesce(F.char_length(text), F.lit(0)) < MIN_CHARS, F.lit(UNKNOWN))
-            .when(F.coalesce(-best.getField("neg"), zero) <= 0, F.lit(UNKNOWN))
-            .otherwise(best.getField("lang")))
-
-
-def predict(df: DataFrame, text_col: str, model: DataFrame, out_col: str = "language") -> DataFrame:
-    """``df`` with ``out_col`` = predicted language of ``text_col``."""
-    return attach_model(df, model).withColumn(out_col, predict_attached(F.col(text_col))).drop(*MODEL_COLS)
+def scores(df: DataFrame, text_col: str, model: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., _best_lang, _top_score) of the best language per row key.
+
+    Trigrams are exploded and matched against the model with a broadcast
+    hash join (the model has at most ``K x languages`` rows, so its size is
+    bounded by construction, not by the data); partial aggregation sums the
+    weights per (key, language) inside each task, so only a few rows per
+    comment reach the shuffle.  Ties go to the smaller language code.
+    """
+    grams = explode_grams(df, text_col, keys)
+    per_lang = (grams.join(F.broadcast(model.select("gram", "lang", "weight")), "gram")
+                .groupBy(*keys, "lang").agg(F.sum("weight").alias("score")))
+    best = per_lang.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("lang"))).alias("b"))
+    return best.select(*keys, F.col("b.lang").alias("_best_lang"), (-F.col("b.neg")).alias("_top_score"))
+
+
+def predict(df: DataFrame, text_col: str, model: DataFrame, out_col: str = "language",
+            keys: list[str] | None = None) -> DataFrame:
+    """``df`` plus ``out_col``: the predicted language of ``text_col``.
+
+    The prediction is joined back on ``keys`` plus a 64-bit hash of the text
+    (so duplicate ids with different texts stay apart).  The right side is
+    grouped on exactly the join keys, so when ``out_col`` is not used later
+    Catalyst removes the whole model and scoring from the plan.
+    """
+    keys = list(keys or ["comment_id"])
+    th = "_text_hash"
+    hashed = df.withColumn(th, F.xxhash64(F.col(text_col)))
+    best = scores(hashed.select(*keys, th, text_col), text_col, model, keys + [th])
+    out = hashed.join(best, keys + [th], "left")
+    text = F.col(text_col)
+    lang = (F.when(F.coalesce(F.char_length(text), F.lit(0)) < MIN_CHARS, F.lit(UNKNOWN))
+            .when(F.col("_best_lang").isNull() | (F.col("_top_score") <= 0), F.lit(UNKNOWN))
+            .otherwise(F.col("_best_lang")))
+    return out.withColumn(out_col, lang).drop(th, "_best_lang", "_top_score")
+
+
+def accuracy(pred: DataFrame, truth_col: str = "lang", pred_col: str = "language") -> DataFrame:
+    """Per true language: rows, correct predictions (counts, no floats)."""
+    return pred.groupBy(truth_col).agg(F.count(F.lit(1)).alias("n"),
+                                       F.count_if(F.col(truth_col) == F.col(pred_col)).alias("n_correct"))

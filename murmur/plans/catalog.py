@@ -12,8 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmur import schemas
+from murmur.functions.text import clean_text
+from murmur.operators import annotate, curate, langid, ngrams
 from murmur.plans import metrics, reports
 from murmur.sources import fixtures as fx
+from murmur.sources import payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +123,121 @@ def q_report_rollup(spark: SparkSession, d: str) -> DataFrame:
 @query("label_coverage")
 def q_label_coverage(spark: SparkSession, d: str) -> DataFrame:
     return metrics.label_coverage(_report(spark, d), _aspect_report(spark, d))
+
+
+# -- curation and language id ------------------------------------------------------
+
+CURATED_OUT = ["comment_id", "video_id", "channel_id", "text_clean", "language", "is_turkish", "is_reply",
+               "parent_id", "author_channel_id", "like_count", "comment_len_chars", "comment_len_tokens"]
+
+
+def _lang_model(spark: SparkSession, d: str) -> DataFrame:
+    return curate.language_model(fx.language_training(spark, d))
+
+
+@query("pending_curation")
+def q_pending_curation(spark: SparkSession, d: str) -> DataFrame:
+    return curate.pending_curation(fx.raw_comments(spark, d), fx.curated(spark, d))
+
+
+@query("curate_comments")
+def q_curate_comments(spark: SparkSession, d: str) -> DataFrame:
+    """Every long comment (documents) curated as one batch, language included."""
+    return curate.curate(fx.long_comments(spark, d), _lang_model(spark, d)).select(*CURATED_OUT)
+
+
+@query("curate_dedup")
+def q_curate_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return curate.curate_dedup(fx.raw_comments(spark, d), fx.curated(spark, d),
+                               _lang_model(spark, d)).select(*CURATED_OUT)
+
+
+@query("language_id")
+def q_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(
+        "doc_id", "lang", clean_text(F.col("text")).alias("text_clean"))
+    return langid.predict(docs, "text_clean", _lang_model(spark, d), keys=["doc_id"]).select(
+        "doc_id", "lang", "language")
+
+
+# -- payload ingest -----------------------------------------------------------------
+
+INGEST_TS = "2024-06-01 00:00:00"
+
+
+@query("thread_flatten")
+def q_thread_flatten(spark: SparkSession, d: str) -> DataFrame:
+    pages = payloads.parse_pages(fx.thread_pages(spark, d))
+    return payloads.flatten_threads(pages, F.lit(INGEST_TS).cast("timestamp")).drop("raw_payload")
+
+
+@query("video_stats_parse")
+def q_video_stats_parse(spark: SparkSession, d: str) -> DataFrame:
+    pages = payloads.parse_pages(fx.video_pages(spark, d), schema=schemas.VIDEO_PAGE)
+    return payloads.flatten_video_stats(pages, F.lit(INGEST_TS).cast("timestamp"))
+
+
+@query("latest_videos_per_channel")
+def q_latest_videos_per_channel(spark: SparkSession, d: str) -> DataFrame:
+    return payloads.latest_videos_per_channel(fx.uploads(spark, d), 10)
+
+
+# -- annotation data jobs --------------------------------------------------------------
+
+MODEL = "m0"
+
+
+@query("pending_inference")
+def q_pending_inference(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.pending_inference(fx.curated(spark, d), fx.insights(spark, d), MODEL)
+
+
+@query("aspect_work_items")
+def q_aspect_work_items(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.aspect_work_items(fx.tagging_replies(spark, d))
+
+
+@query("prediction_rows")
+def q_prediction_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = annotate.prediction_rows(fx.tagging_replies(spark, d), fx.aspect_replies(spark, d))
+    return rows.select(*annotate.RUN_KEY, "general_sentiment", "topic",
+                       annotate.aspects_text(F.col("aspects")).alias("aspects_text"),
+                       F.size("aspects").cast("bigint").alias("n_aspects"),
+                       "purchase_intent", "is_question", "competitor_mention", "had_error")
+
+
+@query("normalize_labels")
+def q_normalize_labels(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.label_normalization(fx.tagging_replies(spark, d), fx.aspect_replies(spark, d))
+
+
+@query("lexicon_tags")
+def q_lexicon_tags(spark: SparkSession, d: str) -> DataFrame:
+    tags = annotate.lexicon_tags(fx.curated(spark, d))
+    return tags.withColumn("aspect_names", F.array_join("aspect_names", ","))
+
+
+@query("aspect_evidence")
+def q_aspect_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.aspect_evidence(annotate.lexicon_tags(fx.curated(spark, d)))
+
+
+@query("tagging_requests")
+def q_tagging_requests(spark: SparkSession, d: str) -> DataFrame:
+    pending = annotate.pending_inference(fx.curated(spark, d), fx.insights(spark, d), MODEL)
+    return annotate.messages_rows(annotate.tagging_requests(pending), "comment_id", "video_id", "channel_id")
+
+
+@query("aspect_requests")
+def q_aspect_requests(spark: SparkSession, d: str) -> DataFrame:
+    items = annotate.aspect_work_items(fx.tagging_replies(spark, d))
+    req = annotate.aspect_requests(items, fx.curated(spark, d))
+    return annotate.messages_rows(req, "comment_id", "video_id", "run_seq", "pos", "aspect_name")
+
+
+# -- documented analytics ----------------------------------------------------------------
+
+@query("ngram_counts")
+def q_ngram_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = fx.long_comments(spark, d).select("video_id", clean_text(F.col("text_original")).alias("text_clean"))
+    return ngrams.top_ngrams(docs, sizes=(2, 3), k=20)

@@ -344,3 +344,305 @@ FULL OUTER JOIN (SELECT video_id, count(*) AS n_aspects,
                         count(*) FILTER (WHERE aspect = 'other') AS n_other_aspects
                  FROM aspect_report GROUP BY video_id) a
   ON t.video_id = a.video_id""")
+
+
+# -- curation, language id -----------------------------------------------------
+
+def tokens_sql(t: str) -> str:
+    return f"CAST(CASE WHEN {t} = '' THEN 0 ELSE len(string_split({t}, ' ')) END AS BIGINT)"
+
+
+CTES["lc_clean"] = f"SELECT *, {clean_sql('text_original')} AS text_clean FROM long_comments"
+CTES["lc_lang"] = lang_predict_cte("lc_clean", "comment_id", "text_clean")
+CTES["doc_clean"] = f"SELECT doc_id, lang, {clean_sql('text')} AS text_clean FROM documents"
+CTES["doc_lang"] = lang_predict_cte("doc_clean", "doc_id", "text_clean")
+CTES["pending_raw"] = """
+SELECT r.* FROM raw_comments r ANTI JOIN curated c ON r.comment_id = c.comment_id"""
+CTES["dedup_clean"] = f"""
+SELECT *, {clean_sql('text_original')} AS text_clean FROM (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY ingested_at DESC NULLS LAST,
+             updated_at DESC NULLS LAST, like_count DESC NULLS LAST, text_original DESC NULLS LAST) AS rn
+    FROM raw_comments WHERE comment_id IS NOT NULL) WHERE rn = 1) n
+ANTI JOIN curated c ON n.comment_id = c.comment_id"""
+CTES["dedup_lang"] = lang_predict_cte("dedup_clean", "comment_id", "text_clean")
+
+
+def _curated_out(src: str, lang: str) -> str:
+    return f"""
+SELECT s.comment_id, s.video_id, s.channel_id, s.text_clean, g.language,
+       starts_with(g.language, 'tr') AS is_turkish, s.parent_id IS NOT NULL AS is_reply, s.parent_id,
+       s.author_channel_id, s.like_count, CAST(length(s.text_clean) AS BIGINT) AS comment_len_chars,
+       {tokens_sql('s.text_clean')} AS comment_len_tokens
+FROM {src} s JOIN {lang} g ON s.comment_id = g.key"""
+
+
+register("pending_curation", """
+SELECT comment_id, video_id, channel_id, text_original, parent_id, author_channel_id, like_count, ingested_at
+FROM pending_raw""")
+register("curate_comments", _curated_out("lc_clean", "lc_lang"))
+register("curate_dedup", _curated_out("dedup_clean", "dedup_lang"))
+register("language_id", "SELECT d.doc_id, d.lang, g.language FROM doc_clean d JOIN doc_lang g ON d.doc_id = g.key")
+
+register("pending_inference", """
+SELECT c.comment_id, c.video_id, c.channel_id, c.text_clean FROM curated c
+WHERE c.text_clean IS NOT NULL AND c.text_clean <> ''
+  AND NOT EXISTS (SELECT 1 FROM insights p WHERE p.comment_id = c.comment_id AND p.model_name = 'm0')""")
+
+
+# -- payload ingest ---------------------------------------------------------------
+
+def lenient_sql(x: str) -> str:
+    t = f"replace({x}, ',', '')"
+    return (f"CASE WHEN regexp_full_match({t}, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*') "
+            f"THEN CAST(replace({t}, '_', '') AS BIGINT) ELSE 0 END")
+
+
+register("thread_flatten", """
+SELECT * EXCLUDE (ingested_at), TIMESTAMP '2024-06-01 00:00:00' AS ingested_at FROM raw_comments""")
+
+CTES["video_items"] = None  # filled below (needs the fixture's item template)
+
+register("latest_videos_per_channel", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY published_at DESC NULLS LAST, video_id DESC) AS rn
+  FROM (SELECT 'ch' || CAST(o_custkey % 7 AS VARCHAR) AS channel_id,
+               CASE WHEN o_orderkey % 13 <> 0 THEN 'v' || CAST(o_orderkey AS VARCHAR) END AS video_id,
+               o_orderdate AS published_at, 'Video ' || CAST(o_orderkey AS VARCHAR) AS video_title
+        FROM orders)
+  WHERE video_id IS NOT NULL AND video_id <> '')
+WHERE rn <= 10""")
+
+
+# -- JSON replies: the same Python semantics written for DuckDB's JSON functions ----
+
+def jtype(j: str, f: str) -> str:
+    return f"json_type({j}, '$.{f}')"
+
+
+def jstr(j: str, f: str) -> str:
+    """String value of field f, NULL for any other JSON type or a missing field."""
+    return f"CASE WHEN {jtype(j, f)} = 'VARCHAR' THEN json_extract_string({j}, '$.{f}') END"
+
+
+def jtruthy(j: str, f: str) -> str:
+    t = jtype(j, f)
+    return f"""(CASE WHEN {t} IS NULL OR {t} = 'NULL' THEN false
+      WHEN {t} = 'BOOLEAN' THEN CAST(json_extract_string({j}, '$.{f}') AS BOOLEAN)
+      WHEN {t} = 'VARCHAR' THEN json_extract_string({j}, '$.{f}') <> ''
+      WHEN {t} = 'ARRAY' THEN json_array_length({j}, '$.{f}') > 0
+      WHEN {t} = 'OBJECT' THEN len(json_keys({j}, '$.{f}')) > 0
+      ELSE CAST(json_extract_string({j}, '$.{f}') AS DOUBLE) <> 0 END)"""
+
+
+def jbool(j: str, f: str) -> str:
+    return (f"(CASE WHEN {jtype(j, f)} = 'VARCHAR' THEN lower(trim(json_extract_string({j}, '$.{f}'))) "
+            f"IN ('true', '1', 'yes', 'evet') ELSE {jtruthy(j, f)} END)")
+
+
+def _norm(x: str, members: list, aliases: dict, default: str) -> str:
+    v = f"lower(trim({x}))"
+    arms = "".join(f" WHEN {v} = '{a}' THEN '{t}'" for a, t in aliases.items())
+    return f"(CASE WHEN {v} IN ({sql_list(members)}) THEN {v}{arms} ELSE '{default}' END)"
+
+
+def norm_topic(x: str) -> str:
+    from murmur.functions.ontology import TOPIC_ALIASES
+    return _norm(x, TOPICS, TOPIC_ALIASES, "offtopic")
+
+
+def norm_aspect(x: str) -> str:
+    from murmur.functions.ontology import ASPECT_ALIASES
+    return _norm(x, ASPECTS, ASPECT_ALIASES, "other")
+
+
+def norm_sentiment(x: str) -> str:
+    return _norm(x, SENTIMENTS, {}, "neutral")
+
+
+def _register_replies() -> None:
+    from murmur.sources.fixtures import ALIAS_WORDS, aspect_reply_sql, tagging_reply_sql, video_item_sql
+    CTES["video_items"] = f"SELECT {video_item_sql('duck')} AS item FROM orders WHERE o_custkey % 22 <> 19"
+    CTES["tag_base"] = f"""
+SELECT 'c' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) AS comment_id,
+       'v' || CAST(user_id % 20 AS VARCHAR) AS video_id,
+       'ch' || CAST(user_id % 20 % 7 AS VARCHAR) AS channel_id,
+       'm' || CAST(event_id % 3 AS VARCHAR) AS model_name,
+       event_id AS run_seq, event_id, k,
+       {_lst(SENTIMENTS + [None])}[event_id % 5 + 1] AS sent,
+       {_lst(TOPICS + [None])}[k % 11 + 1] AS topic,
+       list_transform(range(k % 4), lambda i: {_lst(ASPECTS)}[(event_id + i) % 19 + 1]) AS names,
+       (event_type = 'purchase' AND event_id % 3 <> 0) AS p,
+       (event_type = 'click' OR event_id % 7 = 0) AS q,
+       (event_type = 'error' OR event_id % 11 = 0) AS c
+FROM events_k"""
+    names_json = "'[' || array_to_string(list_transform(names, lambda x: '\"' || x || '\"'), ', ') || ']'"
+    alias_json = ("'[' || array_to_string(list_transform(names, lambda x, i: '\"' || "
+                  f"{_lst(ALIAS_WORDS)}[(event_id + i - 1) % {len(ALIAS_WORDS)} + 1] || '\"'), ', ') || ']'")
+    CTES["tag_replies"] = f"""
+SELECT comment_id, video_id, channel_id, model_name, run_seq, k,
+       {tagging_reply_sql(names_json, alias_json, 'names[1]')} AS tagging_json
+FROM tag_base"""
+    CTES["tag_parsed"] = """
+SELECT *, CASE WHEN json_valid(tagging_json) THEN tagging_json ELSE '{}' END AS j FROM tag_replies"""
+    CTES["work_items"] = """
+SELECT comment_id, video_id, channel_id, model_name, run_seq, k,
+       unnest(range(len(d))) AS pos, unnest(d) AS aspect_name
+FROM (SELECT *, list_filter(nb, lambda x, i: list_position(nb, x) = i) AS d
+      FROM (SELECT *, list_filter(list_transform(list_filter(arr, lambda x: json_type(x) = 'VARCHAR'),
+                                                 lambda x: trim(json_extract_string(x, '$'))),
+                                  lambda x: x <> '') AS nb
+            FROM (SELECT *, CASE WHEN json_type(j, '$.aspect_names') = 'ARRAY'
+                                 THEN json_extract(j, '$.aspect_names[*]') ELSE CAST([] AS JSON[]) END AS arr
+                  FROM tag_parsed)))"""
+    CTES["asp_replies"] = f"""
+SELECT comment_id, video_id, channel_id, model_name, run_seq, pos, aspect_name,
+       {aspect_reply_sql()} AS aspect_json
+FROM (SELECT *, run_seq AS event_id, {_lst(SENTIMENTS)}[(k + pos) % 4 + 1] AS asent,
+             'e' || CAST(run_seq AS VARCHAR) || '.' || CAST(pos AS VARCHAR) AS ev
+      FROM work_items)"""
+    aj = "aj"
+    ev = f"trim({jstr(aj, 'evidence')})"
+    CTES["asp_norm"] = f"""
+SELECT comment_id, video_id, channel_id, model_name, run_seq, pos, bad,
+       {norm_aspect(f"CASE WHEN {jtruthy(aj, 'aspect')} THEN {jstr(aj, 'aspect')} ELSE aspect_name END")} AS aspect,
+       {norm_sentiment(jstr(aj, 'sentiment'))} AS sentiment,
+       CASE WHEN coalesce({ev}, '') = '' THEN '(alıntı yok)' ELSE {ev} END AS evidence
+FROM (SELECT *, CASE WHEN json_valid(aspect_json) THEN aspect_json ELSE '{{}}' END AS aj,
+             aspect_json IS NULL OR NOT json_valid(aspect_json) AS bad
+      FROM asp_replies)"""
+    CTES["asp_agg"] = """
+SELECT comment_id, video_id, channel_id, model_name, run_seq,
+       string_agg(aspect || '|' || sentiment || '|' || evidence, ';' ORDER BY pos) AS aspects_text,
+       count(*) AS n_aspects, bool_or(bad) AS aspect_error
+FROM asp_norm GROUP BY ALL"""
+
+    register("aspect_work_items", """
+SELECT comment_id, video_id, channel_id, model_name, run_seq, CAST(pos AS INTEGER) AS pos, aspect_name
+FROM work_items""")
+
+    register("prediction_rows", f"""
+SELECT t.comment_id, t.video_id, t.channel_id, t.model_name, t.run_seq,
+       {norm_sentiment(jstr('t.j', 'general_sentiment'))} AS general_sentiment,
+       {norm_topic(jstr('t.j', 'topic'))} AS topic,
+       COALESCE(a.aspects_text, '') AS aspects_text, COALESCE(a.n_aspects, 0) AS n_aspects,
+       {jbool('t.j', 'purchase_intent')} AS purchase_intent,
+       {jbool('t.j', 'is_question')} AS is_question,
+       {jbool('t.j', 'competitor_mention')} AS competitor_mention,
+       (NOT json_valid(t.tagging_json)) OR COALESCE(a.aspect_error, false) AS had_error
+FROM tag_parsed t LEFT JOIN asp_agg a
+  ON t.comment_id = a.comment_id AND t.video_id = a.video_id AND t.channel_id = a.channel_id
+ AND t.model_name = a.model_name AND t.run_seq = a.run_seq""")
+
+    labels_body = f"""
+SELECT kind, raw_value, count(*) AS n FROM (
+  SELECT 'sentiment' AS kind, trim_free AS raw_value FROM (SELECT {jstr('j', 'general_sentiment')} AS trim_free FROM tag_parsed)
+  UNION ALL SELECT 'topic', {jstr('j', 'topic')} FROM tag_parsed
+  UNION ALL SELECT 'aspect', {jstr('aj', 'aspect')}
+            FROM (SELECT CASE WHEN json_valid(aspect_json) THEN aspect_json ELSE '{{}}' END AS aj FROM asp_replies)
+  UNION ALL SELECT 'sentiment', {jstr('aj', 'sentiment')}
+            FROM (SELECT CASE WHEN json_valid(aspect_json) THEN aspect_json ELSE '{{}}' END AS aj FROM asp_replies))
+WHERE raw_value IS NOT NULL GROUP BY kind, raw_value"""
+    register("normalize_labels", f"""
+SELECT kind, raw_value,
+       CASE kind WHEN 'topic' THEN {norm_topic('raw_value')} WHEN 'aspect' THEN {norm_aspect('raw_value')}
+                 ELSE {norm_sentiment('raw_value')} END AS normalized, n
+FROM ({labels_body})""")
+
+    register("video_stats_parse", f"""
+SELECT COALESCE(json_extract_string(item, '$.id'), '') AS video_id,
+       COALESCE(json_extract_string(item, '$.snippet.channelId'), '') AS channel_id,
+       COALESCE(json_extract_string(item, '$.snippet.title'), '') AS video_title,
+       COALESCE(json_extract_string(item, '$.snippet.channelTitle'), '') AS channel_title,
+       {lenient_sql("json_extract_string(item, '$.statistics.viewCount')")} AS view_count,
+       {lenient_sql("json_extract_string(item, '$.statistics.likeCount')")} AS like_count,
+       {lenient_sql("json_extract_string(item, '$.statistics.commentCount')")} AS comment_count,
+       strptime(NULLIF(json_extract_string(item, '$.snippet.publishedAt'), ''), '%Y-%m-%dT%H:%M:%SZ')
+         AS published_at,
+       TIMESTAMP '2024-06-01 00:00:00' AS fetched_at
+FROM video_items""")
+
+
+_register_replies()
+
+
+# -- lexicon labeller, evidence, request tables, n-grams ------------------------------
+
+def _register_text_jobs() -> None:
+    from murmur.operators import annotate as an
+    lex = an.default_lexicon()
+    t = "text_clean"
+    found = "list_filter([" + ", ".join(
+        f"CASE WHEN regexp_matches({t}, '{an._phrase_regex(ph)}') THEN '{a}' END" for a, ph in lex.items()
+    ) + "], lambda x: x IS NOT NULL)"
+    topic = "CASE" + "".join(f" WHEN list_contains(found, '{a}') THEN '{tp}'" for a, tp in an.ASPECT_TOPIC) + \
+        " WHEN len(found) > 0 THEN 'product_review' ELSE 'offtopic' END"
+    CTES["lex_base"] = f"""
+SELECT comment_id, video_id, channel_id, {t}, {found} AS found,
+       len(regexp_extract_all({t}, '{an._phrase_regex(an.POSITIVE_WORDS)}')) AS npos,
+       len(regexp_extract_all({t}, '{an._phrase_regex(an.NEGATIVE_WORDS)}')) AS nneg,
+       regexp_matches({t}, '{an._phrase_regex(an.PURCHASE_PHRASES)}') AS purchase_intent,
+       contains({t}, '?') AS is_question
+FROM curated"""
+    CTES["lex_tags"] = f"""
+SELECT comment_id, video_id, channel_id, {t},
+       CASE WHEN npos > 0 AND nneg > 0 THEN 'mixed' WHEN npos > 0 THEN 'positive'
+            WHEN nneg > 0 THEN 'negative' ELSE 'neutral' END AS general_sentiment,
+       {topic} AS topic, found, purchase_intent, is_question,
+       list_contains(found, 'comparison') AS competitor_mention
+FROM lex_base"""
+    register("lexicon_tags", """
+SELECT comment_id, video_id, channel_id, text_clean, general_sentiment, topic,
+       array_to_string(found, ',') AS aspect_names, purchase_intent, is_question, competitor_mention
+FROM lex_tags""")
+
+    phrase_case = "CASE aspect" + "".join(
+        f" WHEN '{a}' THEN [" + ", ".join(f"'{p}'" for p in ph) + "]" for a, ph in lex.items()) + " END"
+    register("aspect_evidence", f"""
+SELECT comment_id, video_id, CAST(pos AS INTEGER) AS pos, aspect,
+       CASE WHEN len(hit) > 0 THEN array_to_string(string_split(hit[1], ' ')[1:{an.MAX_EVIDENCE_WORDS}], ' ')
+            ELSE '{an.labels.NO_ASPECT_PHRASE}' END AS evidence
+FROM (SELECT *, list_filter(sents, lambda s: len(list_filter(phrases, lambda p: strpos(s, p) > 0)) > 0) AS hit
+      FROM (SELECT comment_id, video_id, pos - 1 AS pos, aspect, {phrase_case} AS phrases,
+                   list_filter(list_transform(regexp_split_to_array(text_clean, '[.!?\\n]+'), lambda s: trim(s)),
+                               lambda s: s <> '') AS sents
+            FROM (SELECT comment_id, video_id, text_clean, unnest(range(1, len(found) + 1)) AS pos,
+                         unnest(found) AS aspect FROM lex_tags)))""")
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    CTES["pending_m0"] = """
+SELECT c.comment_id, c.video_id, c.channel_id, c.text_clean FROM curated c
+WHERE c.text_clean IS NOT NULL AND c.text_clean <> ''
+  AND NOT EXISTS (SELECT 1 FROM insights p WHERE p.comment_id = c.comment_id AND p.model_name = 'm0')"""
+    register("tagging_requests", f"""
+SELECT comment_id, video_id, channel_id, CAST(0 AS INTEGER) AS turn, 'system' AS role,
+       {q(an.TAGGING_SYSTEM)} AS content FROM pending_m0
+UNION ALL
+SELECT comment_id, video_id, channel_id, CAST(1 AS INTEGER), 'user', {q(an.JSON_USER)} || text_clean FROM pending_m0""")
+
+    CTES["asp_req"] = """
+SELECT w.comment_id, w.video_id, w.run_seq, CAST(w.pos AS INTEGER) AS pos, w.aspect_name, c.text_clean
+FROM work_items w JOIN curated c ON w.comment_id = c.comment_id AND w.video_id = c.video_id"""
+    register("aspect_requests", f"""
+SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(0 AS INTEGER) AS turn, 'system' AS role,
+       {q(an.ASPECT_SYSTEM)} AS content FROM asp_req
+UNION ALL
+SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(1 AS INTEGER), 'user',
+       'Aspect: "' || aspect_name || '"' || chr(10) || chr(10) || 'Comment:' || chr(10) || text_clean FROM asp_req""")
+
+    register("ngram_counts", """
+SELECT * FROM (
+  SELECT video_id, n, gram, "count",
+         row_number() OVER (PARTITION BY video_id, n ORDER BY "count" DESC, gram ASC) AS rank
+  FROM (SELECT video_id, n, gram, count(*) AS "count"
+        FROM (SELECT video_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+              FROM (SELECT video_id, string_split(text_clean, ' ') AS w FROM lc_clean WHERE text_clean <> '') d,
+                   (VALUES (2), (3)) ns(n),
+                   unnest(range(1, len(w) - n + 2)) AS r(i))
+        GROUP BY ALL))
+WHERE rank <= 20""")
+
+
+_register_text_jobs()

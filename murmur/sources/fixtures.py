@@ -169,3 +169,210 @@ def long_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(text, lang) examples for the language-id model."""
     return _read(spark, sf_dir, "documents").select(F.col("text"), F.col("lang"))
+
+
+# -- JSON payloads and model replies ------------------------------------------
+#
+# The reply adapters carry deliberate dirt (case, blanks, aliases, string /
+# number booleans, non-array lists, malformed JSON) keyed on the event id.  The
+# CASE text below is plain SQL shared with the DuckDB oracle; only the
+# array-to-JSON snippets differ by dialect and are passed in.
+
+ALIAS_WORDS = ["wifi", "SES", "Garanti", "sd kart", "value", "microphone", "DEPOLAMA"]
+
+
+def _js(x: str) -> str:
+    return f"coalesce('\"' || {x} || '\"', 'null')"
+
+
+def _jb(x: str) -> str:
+    return f"CASE WHEN {x} THEN 'true' ELSE 'false' END"
+
+
+def tagging_reply_sql(names_json: str, alias_json: str, first: str) -> str:
+    """Tagging-reply JSON text from columns event_id, sent, topic, p, q, c."""
+    clean_bools = (f"', \"purchase_intent\": ' || {_jb('p')} || ', \"is_question\": ' || {_jb('q')}"
+                   f" || ', \"competitor_mention\": ' || {_jb('c')} || '}}'")
+    return f"""CASE event_id % 13
+  WHEN 0 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": ' || {_js('topic')}
+              || ', "aspect_names": ' || {names_json} || {clean_bools}
+  WHEN 1 THEN '{{"general_sentiment": ' || {_js("' ' || upper(sent) || ' '")} || ', "topic": ' || {_js('upper(topic)')}
+              || ', "aspect_names": ' || {names_json} || {clean_bools}
+  WHEN 2 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": "channel_quality", "aspect_names": '
+              || {alias_json} || {clean_bools}
+  WHEN 3 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": ' || {_js('topic')}
+              || ', "aspect_names": ' || {names_json}
+              || ', "purchase_intent": ' || CASE WHEN p THEN '"yes"' ELSE '"no"' END
+              || ', "is_question": ' || CASE WHEN q THEN '"Evet "' ELSE '"hayır"' END
+              || ', "competitor_mention": ' || CASE WHEN c THEN '"1"' ELSE '"2"' END || '}}'
+  WHEN 4 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": ' || {_js('topic')}
+              || ', "aspect_names": ' || {names_json}
+              || ', "purchase_intent": ' || CASE WHEN p THEN '1' ELSE '0' END
+              || ', "is_question": ' || CASE WHEN q THEN '2' ELSE '0' END
+              || ', "competitor_mention": ' || CASE WHEN c THEN '0.5' ELSE '0.0' END || '}}'
+  WHEN 5 THEN '{{"general_sentiment": "", "topic": "", "aspect_names": '
+              || CASE WHEN {first} IS NULL THEN '[""]'
+                      ELSE substring({names_json}, 1, length({names_json}) - 1) || ', "", " ' || {first} || ' "]' END
+              || {clean_bools}
+  WHEN 6 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": ' || {_js('topic')}
+              || ', "aspect_names": "battery", "purchase_intent": null, "is_question": null, "competitor_mention": null}}'
+  WHEN 7 THEN '{{"general_sentiment": ' || {_js('sent')}
+  WHEN 8 THEN '{{}}'
+  WHEN 9 THEN '{{"general_sentiment": "olumlu", "topic": "battery", "aspect_names": '
+              || substring({names_json}, 1, length({names_json}) - 1)
+              || CASE WHEN {first} IS NULL THEN '5, null]' ELSE ', 5, null]' END || {clean_bools}
+  WHEN 10 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": ' || {_js('topic')}
+              || ', "aspect_names": '
+              || CASE WHEN {first} IS NULL THEN '[]'
+                      ELSE '["' || {first} || '", "' || upper({first}) || '", ' || substring({names_json}, 2) END
+              || ', "purchase_intent": [], "is_question": {{"x": 1}}, "competitor_mention": [0]}}'
+  WHEN 11 THEN '{{"general_sentiment": ' || {_js('sent')} || ', "topic": " Comparison ", "aspect_names": '
+              || {names_json} || '}}'
+  ELSE '{{"general_sentiment": null, "topic": null, "aspect_names": null, "purchase_intent": null, '
+       || '"is_question": null, "competitor_mention": null}}'
+END"""
+
+
+def aspect_reply_sql() -> str:
+    """Aspect-reply JSON text from columns event_id, pos, aspect_name, asent, ev."""
+    return f"""CASE (event_id + pos) % 7
+  WHEN 0 THEN '{{"aspect": ' || {_js('aspect_name')} || ', "sentiment": ' || {_js('asent')}
+              || ', "evidence": ' || {_js('ev')} || '}}'
+  WHEN 1 THEN '{{"sentiment": ' || {_js('asent')} || ', "evidence": ' || {_js('ev')} || '}}'
+  WHEN 2 THEN '{{"aspect": "", "sentiment": ' || {_js('upper(asent)')} || ', "evidence": ' || {_js('ev')} || '}}'
+  WHEN 3 THEN '{{"aspect": ' || {_js('upper(aspect_name)')} || ', "sentiment": ' || {_js("' ' || asent || ' '")}
+              || ', "evidence": "  "}}'
+  WHEN 4 THEN '{{"aspect": 5, "sentiment": "olumlu", "evidence": ' || {_js("' ' || ev || ' '")} || '}}'
+  WHEN 5 THEN '{{"aspect": ' || {_js('aspect_name')} || ', "sentiment": null}}'
+  ELSE '{{"aspect": '
+END"""
+
+
+def _reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _read(spark, sf_dir, "events")
+    k = _event_k()
+    v = F.col("user_id") % 20
+    eid = F.col("event_id")
+    return e.select(
+        F.concat(F.lit("c"), _s(F.col("user_id")), F.lit("."), _s(eid % 4)).alias("comment_id"),
+        F.concat(F.lit("v"), _s(v)).alias("video_id"),
+        F.concat(F.lit("ch"), _s(v % 7)).alias("channel_id"),
+        F.concat(F.lit("m"), _s(eid % 3)).alias("model_name"),
+        eid.alias("run_seq"), eid.alias("event_id"), k.alias("k"),
+        _pick(SENTIMENTS + [None], eid % 5).alias("sent"),
+        _pick(TOPICS + [None], k % 11).alias("topic"),
+        _aspect_names(k).alias("names"),
+        ((F.col("event_type") == "purchase") & (eid % 3 != 0)).alias("p"),
+        ((F.col("event_type") == "click") | (eid % 7 == 0)).alias("q"),
+        ((F.col("event_type") == "error") | (eid % 11 == 0)).alias("c"))
+
+
+def tagging_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tagging reply (JSON text, some of it dirty or malformed) per run."""
+    alias = "array(" + ", ".join(f"'{w}'" for w in ALIAS_WORDS) + ")"
+    sql = tagging_reply_sql(
+        names_json="concat('[', array_join(transform(names, x -> concat('\"', x, '\"')), ', '), ']')",
+        alias_json=("concat('[', array_join(transform(names, (x, i) -> concat('\"', "
+                    f"element_at({alias}, cast((event_id + i) % {len(ALIAS_WORDS)} + 1 as int)), '\"')), ', '), ']')"),
+        first="try_element_at(names, 1)")
+    return _reply_base(spark, sf_dir).select(
+        "comment_id", "video_id", "channel_id", "model_name", "run_seq", "k",
+        F.expr(sql).alias("tagging_json"))
+
+
+def aspect_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aspect reply per work item derived from the tagging replies."""
+    from murmur.operators.annotate import aspect_work_items
+    items = aspect_work_items(tagging_replies(spark, sf_dir))
+    k = tagging_replies(spark, sf_dir).select("run_seq", "k")
+    j = items.join(k, "run_seq").withColumn("event_id", F.col("run_seq"))
+    j = j.withColumn("asent", F.element_at(F.array(*[F.lit(s) for s in SENTIMENTS]),
+                                           ((F.col("k") + F.col("pos")) % 4 + 1).cast("int")))
+    j = j.withColumn("ev", F.concat(F.lit("e"), _s(F.col("event_id")), F.lit("."), _s(F.col("pos"))))
+    return j.select("comment_id", "video_id", "channel_id", "model_name", "run_seq", "pos",
+                    F.expr(aspect_reply_sql()).alias("aspect_json"))
+
+
+def _iso(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment-thread API pages (JSON text) rebuilt from ``conversations``: one
+    thread per conversation (turn 0 on top, later turns as replies), at most 10
+    threads per page.  Flattening them must give back ``raw_comments``."""
+    raw = raw_comments(spark, sf_dir)
+    conv = F.element_at(F.split(F.substring(F.col("comment_id"), 2, 1 << 20), r"\."), 1).cast("bigint")
+    turn = F.element_at(F.split(F.col("comment_id"), r"\."), 2).cast("bigint")
+    comment = F.struct(
+        F.col("comment_id").alias("id"),
+        F.struct(F.struct(F.col("author_channel_id").alias("value")).alias("authorChannelId"),
+                 F.col("author_display_name").alias("authorDisplayName"),
+                 F.col("text_original").alias("textOriginal"),
+                 F.col("text_display").alias("textDisplay"),
+                 F.col("like_count").alias("likeCount"),
+                 _iso(F.col("published_at")).alias("publishedAt"),
+                 _iso(F.col("updated_at")).alias("updatedAt")).alias("snippet"))
+    per_conv = raw.select(conv.alias("conv_id"), turn.alias("turn"), "channel_id", "channel_title", "video_id",
+                          "video_title", comment.alias("comment"))
+    threads = per_conv.groupBy("conv_id").agg(
+        F.first("channel_id").alias("channelId"), F.first("channel_title").alias("channelTitle"),
+        F.first("video_id").alias("videoId"), F.first("video_title").alias("videoTitle"),
+        F.max_by("comment", F.when(F.col("turn") == 0, 1).otherwise(0)).alias("top"),
+        F.array_sort(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "comment")))).alias("r"))
+    item = F.struct(
+        F.struct("channelId", "channelTitle", "videoId", "videoTitle",
+                 F.col("top").alias("topLevelComment")).alias("snippet"),
+        F.struct(F.transform("r", lambda x: x.getField("comment")).alias("comments")).alias("replies"))
+    pages = threads.groupBy((F.col("conv_id") % 20).alias("v"), (F.col("conv_id") / 200).cast("bigint").alias("pg")) \
+        .agg(F.collect_list(item).alias("items"))
+    return pages.select(F.to_json(F.struct("items")).alias("page_json"))
+
+
+def video_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Video-statistics API pages (JSON text, <= 50 items each) with counters as
+    numbers, comma strings, padded strings, junk or missing."""
+    return _read(spark, sf_dir, "orders").where(F.col("o_custkey") % 22 != 19).select(
+        (F.col("o_orderkey") / 50).cast("bigint").alias("pg"), F.expr(video_item_sql("spark")).alias("item")) \
+        .groupBy("pg").agg(F.concat(F.lit('{"items": ['), F.array_join(F.collect_list("item"), ", "),
+                                    F.lit("]}")).alias("page_json")).select("page_json")
+
+
+def video_item_sql(dialect: str) -> str:
+    """One video item as JSON text from an ``orders`` row."""
+    if dialect == "spark":
+        fmt = "format_number(floor(o_totalprice), 0)"
+        iso = "date_format(o_orderdate - INTERVAL 7 DAYS, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+        s = "cast({} as string)"
+    else:
+        fmt = "format('{:,}', CAST(floor(o_totalprice) AS BIGINT))"
+        iso = "strftime(o_orderdate - INTERVAL 7 DAY, '%Y-%m-%dT%H:%M:%SZ')"
+        s = "CAST({} AS VARCHAR)"
+    v = s.format("o_custkey % 22")
+    price = s.format("CAST(floor(o_totalprice) AS BIGINT)")
+    return f"""'{{' || CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE '"id": "v' || {v} || '", ' END
+  || '"snippet": {{'
+  || CASE WHEN o_orderkey % 89 = 0 THEN '' ELSE '"channelId": "'
+       || CASE WHEN o_orderkey % 10 = 0 THEN 'chX' ELSE 'ch' || {s.format('o_custkey % 22 % 7')} END || '", ' END
+  || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '"title": "Stat ' || {v} || '", "channelTitle": "SChan '
+       || {s.format('o_custkey % 22 % 7')} || '", ' END
+  || '"publishedAt": "' || CASE WHEN o_orderkey % 4 <> 0 THEN {iso} ELSE '' END || '"}}, '
+  || '"statistics": {{'
+  || CASE o_orderkey % 6 WHEN 0 THEN '"viewCount": ' || {price} || ', '
+                         WHEN 1 THEN '"viewCount": "' || {fmt} || '", '
+                         WHEN 2 THEN '"viewCount": " ' || {price} || ' ", '
+                         WHEN 3 THEN '"viewCount": "' || {price} || '.5", '
+                         WHEN 4 THEN '"viewCount": "x", '
+                         ELSE '' END
+  || '"likeCount": "' || {s.format('CAST(floor(o_totalprice / 10) AS BIGINT)')} || '", '
+  || '"commentCount": ' || {s.format('o_orderkey % 500')} || '}}}}'"""
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel upload listings (search results) from ``orders``; some items lack a video id."""
+    o = _read(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("ch"), _s(F.col("o_custkey") % 7)).alias("channel_id"),
+        F.when(F.col("o_orderkey") % 13 != 0, F.concat(F.lit("v"), _s(F.col("o_orderkey")))).alias("video_id"),
+        F.col("o_orderdate").cast("timestamp").alias("published_at"),
+        F.concat(F.lit("Video "), _s(F.col("o_orderkey"))).alias("video_title"))
