@@ -31,32 +31,25 @@ GRAM = 3
 PROFILE_SIZE = 400
 
 
-CHARS = "_chars"
-
-
-def code_points(text: Column) -> Column:
-    """' ' + text + ' ' as an array of code points (regex split between any two characters)."""
-    padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
-    return F.split(padded, r"(?s)(?<=.)(?=.)")
+def gram_pattern(n: int = GRAM) -> str:
+    """Regex whose group 1 is the n code points starting at each code point.
 
+    Every match consumes exactly one code point, so the scan always restarts
+    on a code-point boundary (a zero-width pattern would step into UTF-16
+    surrogate pairs); group 1 is a look-ahead, so grams overlap.
+    """
+    return "(?s)(?=(.{%d}))." % n
 
-def grams_of(chars: Column, n: int = GRAM) -> Column:
-    """All n-grams of a code-point array column, in order.
 
-    ``chars`` must be a column reference (materialised by an earlier
-    projection): an expression referenced inside a lambda is re-evaluated per
-    element, which would make this quadratic in the text length.
-    """
-    size = F.size(chars)
-    grams = F.transform(F.sequence(F.lit(1), size - n + 1),
-                        lambda i: F.concat(*[F.element_at(chars, i + j) for j in range(n)]))
-    return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
+def char_grams(text: Column, n: int = GRAM) -> Column:
+    """All character n-grams of ' ' + text + ' ' (code points), in order; one native call."""
+    padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
+    return F.regexp_extract_all(padded, F.lit(gram_pattern(n)), F.lit(1))
 
 
 def explode_grams(df: DataFrame, text_col: str, keep: list[str], n: int = GRAM) -> DataFrame:
     """(keep..., gram) for every character n-gram of ``text_col``; linear in text length."""
-    return (df.select(*keep, code_points(F.col(text_col)).alias(CHARS))
-            .select(*keep, F.explode(grams_of(F.col(CHARS), n)).alias("gram")))
+    return df.select(*keep, F.explode(char_grams(F.col(text_col), n)).alias("gram"))
 
 
 def fit(examples: DataFrame, text_col: str = "text_clean", lang_col: str = "lang",

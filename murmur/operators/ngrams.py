@@ -1,7 +1,8 @@
 """Word n-gram counts per video (bigram / trigram panels).
 
-Per comment, the n-grams are generated in place with higher-order functions
-(no self-join); ``explode`` feeds a hash aggregate keyed on
+Per comment, the n-grams come from one native regex call (overlapping
+look-ahead captures anchored at word starts; no self-join, no per-position
+lambda); ``explode`` feeds a hash aggregate keyed on
 (video, n, gram) whose map-side partial aggregation collapses repeats before
 the shuffle, and the per-video top-k is a ``row_number <= k`` window that is
 planned with a partial WindowGroupLimit, so a video with a third of all
@@ -16,33 +17,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-WORDS = "_words"
+def ngram_pattern(n: int) -> str:
+    """Regex whose group 1 is the n words starting at each word of single-spaced text.
 
+    A match starts only at the text start or on a literal space, so the scan
+    never restarts inside a word (or inside a UTF-16 surrogate pair)."""
+    return "(?:^| )(?=([^ ]+" + "( [^ ]+)" * (n - 1) + "))"
 
-def word_ngrams(words: Column, n: int) -> Column:
-    """All space-joined n-grams of a word-array column (empty when fewer words).
 
-    ``words`` must be a column reference from an earlier projection so the
-    split is not re-evaluated inside the lambda for every position.
-    """
-    size = F.size(words)
-    grams = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
+def word_ngrams(text: Column, n: int) -> Column:
+    """All space-joined word n-grams of cleaned text (trimmed, single spaces); one native call."""
+    return F.regexp_extract_all(text, F.lit(ngram_pattern(n)), F.lit(1))
 
 
 def ngram_counts(comments: DataFrame, sizes: Sequence[int] = (2, 3), text_col: str = "text_clean",
                  by: str = "video_id") -> DataFrame:
     """(by, n, gram, count) over every comment."""
-    t = F.col(text_col)
-    staged = comments.select(by, F.when(t != "", F.split(t, " ")).otherwise(F.array().cast("array<string>"))
-                             .alias(WORDS))
-    w = F.col(WORDS)
+    t = F.coalesce(F.col(text_col), F.lit(""))
 
     def tag(n: int) -> Column:
-        return F.transform(word_ngrams(w, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
+        return F.transform(word_ngrams(t, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
 
     tagged = F.concat(*[tag(n) for n in sizes])
-    return (staged.select(by, F.inline(tagged))
+    return (comments.select(by, F.inline(tagged))
             .groupBy(by, "n", "gram").agg(F.count(F.lit(1)).alias("count")))
 
 
