@@ -154,7 +154,7 @@ def q_curate_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("language_id")
 def q_language_id(spark: SparkSession, d: str) -> DataFrame:
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(
+    docs = fx.documents(spark, d).select(
         "doc_id", "lang", clean_text(F.col("text")).alias("text_clean"))
     return langid.predict(docs, "text_clean", _lang_model(spark, d), keys=["doc_id"]).select(
         "doc_id", "lang", "language")

@@ -25,6 +25,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` table spread over the session's task slots.
+
+    The driver file is a single Parquet row group, so a plain scan feeds all
+    text work to one task; a stored comment table would be many files.  One
+    round-robin exchange of the raw rows restores normal scan parallelism.
+    """
+    return _read(spark, sf_dir, "documents").repartition(spark.sparkContext.defaultParallelism)
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -151,7 +161,7 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-comment shaped rows over ``documents``; ``lang`` is the truth label."""
-    d = _read(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     out = d.select(
         F.concat(F.lit("ch"), F.col("source")).alias("channel_id"),
         F.col("source").alias("video_id"),
@@ -168,7 +178,7 @@ def long_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(text, lang) examples for the language-id model."""
-    return _read(spark, sf_dir, "documents").select(F.col("text"), F.col("lang"))
+    return documents(spark, sf_dir).select(F.col("text"), F.col("lang"))
 
 
 # -- JSON payloads and model replies ------------------------------------------
