@@ -402,3 +402,25 @@ def label_normalization(tagging: DataFrame, aspect_replies: DataFrame,
                     F.when(F.col("kind") == "topic", normalize_topic(raw))
                     .when(F.col("kind") == "aspect", normalize_aspect(raw))
                     .otherwise(normalize_sentiment(raw)).alias("normalized"), "n"))
+
+
+def lexicon_insight_rows(pending: DataFrame, model_name: str = "lexicon",
+                         lexicon: dict[str, list[str]] | None = None) -> DataFrame:
+    """Pending comments labelled offline, shaped as ``ml.comment_insights`` rows.
+
+    Each found aspect carries the comment's overall sentiment and its evidence
+    span; one projection, no shuffle.
+    """
+    from murmur import schemas
+    lex = lexicon or default_lexicon()
+    tags = lexicon_tags(pending, "text_clean", lex)
+    phrase_map = F.create_map(*[x for a, ph in lex.items() for x in (F.lit(a), F.array(*[F.lit(p) for p in ph]))])
+    aspects = F.transform("aspect_names", lambda a: F.struct(
+        a.alias("aspect"), F.col("general_sentiment").alias("sentiment"),
+        evidence_span(F.col("text_clean"), F.element_at(phrase_map, a)).alias("evidence")))
+    rows = tags.select(
+        "comment_id", "video_id", "channel_id", F.lit(model_name).alias("model_name"),
+        "general_sentiment", "topic", aspects.alias("aspects"), "purchase_intent", "is_question",
+        "competitor_mention", F.current_timestamp().alias("inference_ts"))
+    return rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.COMMENT_INSIGHTS.fields])
