@@ -424,3 +424,8 @@ def lexicon_insight_rows(pending: DataFrame, model_name: str = "lexicon",
         "competitor_mention", F.current_timestamp().alias("inference_ts"))
     return rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns
                          else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.COMMENT_INSIGHTS.fields])
+
+
+def reply_rejects(replies: DataFrame, reply_col: str = "tagging_json") -> DataFrame:
+    """Replies that are not valid JSON (kept aside for inspection or a retry run)."""
+    return replies.where(F.col(reply_col).isNotNull() & _parsed(reply_col).isNull())

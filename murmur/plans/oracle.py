@@ -273,7 +273,7 @@ FROM f5 WHERE general_sentiment IS NOT NULL GROUP BY ALL""")
 register("topic_top10", """
 SELECT * FROM (
   SELECT video_id, topic, "count",
-         row_number() OVER (PARTITION BY video_id ORDER BY "count" DESC, topic ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY video_id ORDER BY "count" DESC, topic ASC) AS INTEGER) AS rank
   FROM (SELECT video_id, topic, count(*) AS "count" FROM f5 WHERE topic IS NOT NULL GROUP BY ALL))
 WHERE rank <= 10""")
 
@@ -635,7 +635,7 @@ SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(1 AS INTEGER), 'use
     register("ngram_counts", """
 SELECT * FROM (
   SELECT video_id, n, gram, "count",
-         row_number() OVER (PARTITION BY video_id, n ORDER BY "count" DESC, gram ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY video_id, n ORDER BY "count" DESC, gram ASC) AS INTEGER) AS rank
   FROM (SELECT video_id, n, gram, count(*) AS "count"
         FROM (SELECT video_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
               FROM (SELECT video_id, string_split(text_clean, ' ') AS w FROM lc_clean WHERE text_clean <> '') d,

@@ -149,3 +149,8 @@ def test_lexicon_tagger_question_purchase_and_evidence(spark):
     assert "battery" in t.aspect_names
     ev = {r.aspect: r.evidence for r in annotate.aspect_evidence(annotate.lexicon_tags(df)).collect()}
     assert ev["battery"] == "kamerası harika ama batarya kötü"
+
+
+def test_reply_rejects(spark):
+    df = spark.createDataFrame([("a", "{}"), ("b", "{oops"), ("c", None)], "comment_id string, tagging_json string")
+    assert [r.comment_id for r in annotate.reply_rejects(df).collect()] == ["b"]

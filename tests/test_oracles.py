@@ -33,3 +33,16 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "intent_category" in df.columns
+
+
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "StringType()": "VARCHAR",
+                 "BooleanType()": "BOOLEAN", "TimestampType()": "TIMESTAMP", "DoubleType()": "DOUBLE",
+                 "DateType()": "DATE"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_column_types_match_oracle(spark, con, key):
+    s = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType))
+         for f in entry_mod.queries()[key](spark, SF_SMALL).schema.fields}
+    d = {r[0]: r[1] for r in con.execute("DESCRIBE " + entry_mod.oracle_sql()[key]).fetchall()}
+    assert s == d
