@@ -9,9 +9,11 @@
 * ``latest_model_insights``    every row of the model that ran last on a video
 
 Plan notes.  The latest-run window is partitioned by (video_id, comment_id)
-and the curated join is keyed on exactly those two columns (channel equality
-is applied as a filter, which is the same thing for an inner join), so the
-insights side is shuffled once for both operators.  Title and stats sides are
+and the curated join is keyed on those two columns plus channel equality
+(which the optimizer folds into the join keys); with
+``spark.sql.requireAllClusterKeysForCoPartition=false`` (a session default
+here) the join reuses the window's partitioning, so the insights side is
+shuffled once for both operators.  Title and stats sides are
 reduced to one row per video before they meet the comments; AQE broadcasts
 them only when their measured size is under the broadcast threshold.
 """
