@@ -71,9 +71,9 @@ def aspect_names(reply: Column) -> Column:
     return F.array_distinct(F.filter(cleaned, lambda x: x != F.lit("")))
 
 
-def aspect_work_items(tagging: DataFrame, reply_col: str = "tagging_json") -> DataFrame:
+def aspect_work_items(tagging: DataFrame, reply_col: str = "tagging_json", keep: tuple = ()) -> DataFrame:
     """One row per (run, position, aspect name) to send to the aspect stage."""
-    keys = [c for c in RUN_KEY if c in tagging.columns]
+    keys = [c for c in RUN_KEY if c in tagging.columns] + list(keep)
     return tagging.select(*keys, F.posexplode(F.coalesce(aspect_names(_parsed(reply_col)),
                                                          F.array().cast("array<string>")))
                           .alias("pos", "aspect_name"))

@@ -293,9 +293,7 @@ def tagging_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def aspect_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One aspect reply per work item derived from the tagging replies."""
     from murmur.operators.annotate import aspect_work_items
-    items = aspect_work_items(tagging_replies(spark, sf_dir))
-    k = tagging_replies(spark, sf_dir).select("run_seq", "k")
-    j = items.join(k, "run_seq").withColumn("event_id", F.col("run_seq"))
+    j = aspect_work_items(tagging_replies(spark, sf_dir), keep=("k",)).withColumn("event_id", F.col("run_seq"))
     j = j.withColumn("asent", F.element_at(F.array(*[F.lit(s) for s in SENTIMENTS]),
                                            ((F.col("k") + F.col("pos")) % 4 + 1).cast("int")))
     j = j.withColumn("ev", F.concat(F.lit("e"), _s(F.col("event_id")), F.lit("."), _s(F.col("pos"))))
