@@ -32,7 +32,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text work to one task; a stored comment table would be many files.  One
     round-robin exchange of the raw rows restores normal scan parallelism.
     """
-    return _read(spark, sf_dir, "documents").repartition(spark.sparkContext.defaultParallelism)
+    return _spread(spark, _read(spark, sf_dir, "documents"))
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin the rows of a single-row-group driver file over the task slots
+    (used before heavy per-row work only)."""
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _s(c: Column) -> Column:
@@ -259,7 +265,7 @@ END"""
 
 
 def _reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events")
+    e = _spread(spark, _read(spark, sf_dir, "events"))
     k = _event_k()
     v = F.col("user_id") % 20
     eid = F.col("event_id")
