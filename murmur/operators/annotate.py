@@ -332,6 +332,12 @@ def aspect_requests(items: DataFrame, texts: DataFrame) -> DataFrame:
     return j.select(*keys, F.array(_msg("system", F.lit(ASPECT_SYSTEM)), _msg("user", user)).alias("messages"))
 
 
+def export_requests(requests: DataFrame, path: str) -> None:
+    """Write request tables as JSON lines (one request with its ``messages`` per line),
+    compressed, one file per task; an external batch labeller reads them as is."""
+    requests.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
 def messages_rows(requests: DataFrame, *keys: str) -> DataFrame:
     """Requests flattened to (keys..., turn, role, content) rows."""
     return requests.select(*keys, F.posexplode("messages").alias("turn", "m")).select(

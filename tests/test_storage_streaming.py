@@ -111,3 +111,14 @@ def test_language_model_accuracy(spark):
     n = sum(r.n for r in acc)
     ok = sum(r.n_correct for r in acc)
     assert ok / n > 0.95
+
+
+def test_request_export_roundtrip(spark, scratch):
+    pending = annotate.pending_inference(fx.curated(spark, SF_SMALL), fx.insights(spark, SF_SMALL), "m0")
+    req = annotate.tagging_requests(pending, forced_choice=True, stage="reasoning")
+    path = os.path.join(scratch, "requests")
+    annotate.export_requests(req, path)
+    back = spark.read.json(path)
+    assert back.count() == pending.count()
+    first = back.select(F.col("messages")[0]["content"].alias("s"), F.col("messages")[1]["role"].alias("r")).first()
+    assert "Do not answer neutral" in first.s and first.r == "user"
