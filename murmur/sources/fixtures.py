@@ -59,7 +59,8 @@ def _conform(df: DataFrame, schema, *extra: str) -> DataFrame:
 
 # -- raw.comments from conversations ------------------------------------------
 
-def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_comments(spark: SparkSession, sf_dir: str, keep_source_keys: bool = False) -> DataFrame:
+    """raw.comments rows; ``keep_source_keys`` adds conv_id and turn (for payload rebuilding)."""
     c = _read(spark, sf_dir, "conversations")
     v = F.col("conv_id") % 20
     ch = v % 7
@@ -80,8 +81,9 @@ def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("text_display"),
         ((F.col("conv_id") * 7 + F.col("turn")) % 50).alias("like_count"),
         ts.alias("published_at"), ts.alias("updated_at"), ts.alias("ingested_at"),
+        "conv_id", "turn",
     )
-    return _conform(out, schemas.RAW_COMMENTS)
+    return _conform(out, schemas.RAW_COMMENTS, *(["conv_id", "turn"] if keep_source_keys else []))
 
 
 # -- raw.video_stats from orders ----------------------------------------------
@@ -315,9 +317,7 @@ def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment-thread API pages (JSON text) rebuilt from ``conversations``: one
     thread per conversation (turn 0 on top, later turns as replies), at most 10
     threads per page.  Flattening them must give back ``raw_comments``."""
-    raw = raw_comments(spark, sf_dir)
-    conv = F.element_at(F.split(F.substring(F.col("comment_id"), 2, 1 << 20), r"\."), 1).cast("bigint")
-    turn = F.element_at(F.split(F.col("comment_id"), r"\."), 2).cast("bigint")
+    raw = raw_comments(spark, sf_dir, keep_source_keys=True)
     comment = F.struct(
         F.col("comment_id").alias("id"),
         F.struct(F.struct(F.col("author_channel_id").alias("value")).alias("authorChannelId"),
@@ -327,8 +327,8 @@ def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("like_count").alias("likeCount"),
                  _iso(F.col("published_at")).alias("publishedAt"),
                  _iso(F.col("updated_at")).alias("updatedAt")).alias("snippet"))
-    per_conv = raw.select(conv.alias("conv_id"), turn.alias("turn"), "channel_id", "channel_title", "video_id",
-                          "video_title", comment.alias("comment"))
+    per_conv = raw.select("conv_id", "turn", "channel_id", "channel_title", "video_id", "video_title",
+                          comment.alias("comment"))
     threads = per_conv.groupBy("conv_id").agg(
         F.first("channel_id").alias("channelId"), F.first("channel_title").alias("channelTitle"),
         F.first("video_id").alias("videoId"), F.first("video_title").alias("videoTitle"),
