@@ -103,14 +103,25 @@ SELECT 'ch' || source AS channel_id, source AS video_id,
        text AS text_original, CAST(doc_id % 50 AS BIGINT) AS like_count, lang
 FROM documents"""
 
+def _grams_sql(c: str) -> str:
+    """Character n-grams from a code-point list column (linear; substring-by-position is not)."""
+    parts = " || ".join(f"{c}[i + {j}]" for j in range(GRAM))
+    return f"list_transform(range(1, len({c}) - {GRAM - 2}), lambda i: {parts})"
+
+
+def _code_points(p: str) -> str:
+    return f"regexp_extract_all({p}, '(?s).', 0)"
+
+
 # language-id model: top-K character trigrams per language, weight K + 1 - rank
 CTES["lang_model"] = f"""
 SELECT lang, gram, CAST({PROFILE_SIZE + 1} - rn AS BIGINT) AS weight
 FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram ASC) AS rn
-      FROM (SELECT lang, substring(p, i, {GRAM}) AS gram, count(*) AS n
-            FROM (SELECT lang, ' ' || {clean_sql('text')} || ' ' AS p FROM documents WHERE lang IS NOT NULL) d,
-                 unnest(range(1, length(p) - {GRAM} + 2)) AS r(i)
-            GROUP BY ALL))
+      FROM (SELECT lang, gram, count(*) AS n
+            FROM (SELECT lang, unnest({_grams_sql('c')}) AS gram
+                  FROM (SELECT lang, {_code_points("' ' || " + clean_sql('text') + " || ' '")} AS c
+                        FROM documents WHERE lang IS NOT NULL))
+            GROUP BY lang, gram))
 WHERE rn <= {PROFILE_SIZE}"""
 
 
@@ -123,9 +134,8 @@ FROM {source} s LEFT JOIN (
   SELECT key, lang FROM (
     SELECT key, lang, row_number() OVER (PARTITION BY key ORDER BY score DESC, lang ASC) AS rn
     FROM (SELECT g.key, m.lang, sum(m.weight) AS score
-          FROM (SELECT {key} AS key, substring(p, i, {GRAM}) AS gram
-                FROM (SELECT {key}, ' ' || {text} || ' ' AS p FROM {source}) t,
-                     unnest(range(1, length(p) - {GRAM} + 2)) AS r(i)) g
+          FROM (SELECT key, unnest({_grams_sql('c')}) AS gram
+                FROM (SELECT {key} AS key, {_code_points("' ' || " + text + " || ' '")} AS c FROM {source})) g
           JOIN lang_model m ON g.gram = m.gram
           GROUP BY ALL))
   WHERE rn = 1) b ON s.{key} = b.key"""
