@@ -13,6 +13,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file on this machine and on the executors."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(key: str):
     def deco(fn: Query) -> Query:
         QUERIES[key] = fn
@@ -20,6 +26,12 @@ def query(key: str):
     return deco
 
 
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.packing import pack
+    return pack(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), size=2048)
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm.simhash import simhash_groups
