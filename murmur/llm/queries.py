@@ -26,6 +26,12 @@ def query(key: str):
     return deco
 
 
+@query("op8_secret_scan")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm import secrets
+    return secrets.digest(secrets.scan(table(spark, d, "documents"), vocabulary("byte_bpe_50k.tiktoken")))
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm.packing import pack
