@@ -26,6 +26,12 @@ def query(key: str):
     return deco
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.toxicity import toxicity
+    return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm import secrets
