@@ -32,6 +32,17 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+#: (host and path, verdict); the longest fitting rule wins.
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"),
+             ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+@query("op5_url_filter")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.urls import judge
+    return judge(table(spark, d, "pages"), URL_RULES)
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm import secrets

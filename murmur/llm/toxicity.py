@@ -95,6 +95,8 @@ class Model:
     weights: tuple[float, ...]      # of the scaled features, then the constant
     center: tuple[float, ...]
     scale: tuple[float, ...]
+    low: tuple[float, ...]          # range of the features seen in calibration
+    high: tuple[float, ...]
     window: int
     level: int
 
@@ -111,7 +113,7 @@ class Model:
     def score(self, lines: list[bytes]) -> np.ndarray:
         if not self.weights:
             return np.zeros(len(lines))
-        x = (self.features(lines) - self.center) / self.scale
+        x = (np.clip(self.features(lines), self.low, self.high) - self.center) / self.scale
         return 1 / (1 + np.exp(-(x @ self.weights[:-1] + self.weights[-1])))
 
 
@@ -152,7 +154,7 @@ def fit(toxic: list[str], ordinary: list[str], b: Bounds = Bounds()) -> Model:
     """Dictionaries from two thirds of the texts, thresholds from the others (from all, where
     there are fewer than 60 toxic ones)."""
     t, o = [_line(x) for x in toxic], [_line(x) for x in ordinary]
-    blank = Model(b"", b"", (), (), (), b.window, b.level)
+    blank = Model(b"", b"", (), (), (), (), (), b.window, b.level)
     if not t or not o:
         return blank
     few = len(t) < 60
@@ -166,12 +168,15 @@ def fit(toxic: list[str], ordinary: list[str], b: Bounds = Bounds()) -> Model:
         plain = zstandard.train_dictionary(b.dictionary, samples).as_bytes()
     except zstandard.ZstdError:      # too little text to train on: the text itself
         plain = b"".join(samples)[-b.dictionary:]
-    m = Model(plain, b"\0".join(stretches) + b"\0", (), (), (), b.window, b.level)
+    m = Model(plain, b"\0".join(stretches) + b"\0", (), (), (), (), (), b.window, b.level)
     x = m.features(cal_t + cal_o)
     y = np.r_[np.ones(len(cal_t)), np.zeros(len(cal_o))]
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(m.ordinary, m.toxic, _logistic((x - center) / scale, y), tuple(center.tolist()),
-                 tuple(scale.tolist()), b.window, b.level)
+    weights = _logistic((x - center) / scale, y)
+    if weights[3] > 0:               # length alone never speaks against a text
+        weights = _logistic((x - center) / scale * [1, 1, 1, 0], y)
+    return Model(m.ordinary, m.toxic, weights, tuple(center.tolist()),
+                 tuple(scale.tolist()), tuple(x.min(axis=0).tolist()), tuple(x.max(axis=0).tolist()), b.window, b.level)
 
 
 def held_out(doc_id: Column) -> Column:
