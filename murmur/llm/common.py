@@ -14,6 +14,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 import murmur
@@ -94,3 +95,22 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(total)
+
+
+def dense(column: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(rows that are vectors, [(row numbers, float64 matrix)] per length) of a list column.
+
+    A row is no vector if it is NULL or holds a NULL or non-finite component.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)
+    values = np.asarray(pc.fill_null(column.flatten().cast(pa.float64()), float("nan")))
+    valid = np.asarray(column.is_valid())
+    starts = np.cumsum(lengths) - lengths
+    valid = valid & (np.bincount(np.repeat(np.arange(len(lengths)), lengths), ~np.isfinite(values), len(lengths)) == 0)
+    parts = []
+    for size in np.unique(lengths[valid]):
+        rows = np.flatnonzero(valid & (lengths == size))
+        parts.append((rows, values[starts[rows][:, None] + np.arange(size)]))
+    return valid, parts

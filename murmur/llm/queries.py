@@ -26,6 +26,12 @@ def query(key: str):
     return deco
 
 
+@query("op2_exact_top_k")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.topk import top_k
+    return top_k(table(spark, d, "embeddings"), every=100, k=10)
+
+
 @query("op3_toxicity")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm.toxicity import toxicity
@@ -43,6 +49,12 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     return judge(table(spark, d, "pages"), URL_RULES)
 
 
+@query("op6_embedding_near_dedup")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, d, "embeddings"), threshold=0.98)
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm import secrets
@@ -59,3 +71,18 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 def op10(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm.simhash import simhash_groups
     return simhash_groups(table(spark, d, "documents"), shingle=3, max_bits=3)
+
+
+ORACLES["op2_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
