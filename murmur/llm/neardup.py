@@ -210,7 +210,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target_recall:
     cols = [*key, "node", "copies", "embedding"]
     homes = (placed.filter("home").select(*cols, own("homes").alias("hb"), F.explode(every("visitors")).alias("pb"), F.lit(True).alias("as_home")))
     visitors = placed.select(*cols, F.explode(every("homes")).alias("hb"), own("visitors").alias("pb"), F.lit(False).alias("as_home"))
-    met = staged(homes.union(visitors).groupBy(*key, "hb", "pb")
+    # dealt by the block pair: the grouping below would otherwise be content with the cell
+    dealt = homes.union(visitors).repartition(*key, "hb", "pb")
+    met = staged(dealt.groupBy(*key, "hb", "pb")
                  .applyInArrow(_compare(threshold), "node long, links long, root long"), "links")
     counts = met.groupBy("node").agg(F.sum("links").alias("links"))
     parts = connected_components(met.filter("root is not null").select("node", "root"))

@@ -38,6 +38,12 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm import passages
+    return passages.digest(passages.repeated_passages(table(spark, d, "documents")))
+
+
 #: (host and path, verdict); the longest fitting rule wins.
 URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"),
              ("com/fr/", "allow"), ("com/de/", "block"))
