@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from murmur.llm.common import table
 
@@ -26,6 +27,13 @@ def query(key: str):
     return deco
 
 
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.pieces import encode_and_decode
+    coded = encode_and_decode(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), "round_trip")
+
+
 @query("op2_exact_top_k")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm.topk import top_k

@@ -58,9 +58,9 @@ class _Index(dict):
 
 
 class WordIds:
-    """Ids of texts, each followed by ``end``; ``encode`` gives the ids of one word."""
+    """Ids of texts, each followed by ``end``; ``encode`` gives the ids of each of a list of words."""
 
-    def __init__(self, encode: Callable[[str], list[int]], end: list[int]):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], end: list[int]):
         self.encode, self.end = encode, end
         self._clear()
 
@@ -71,7 +71,7 @@ class WordIds:
         self.lengths = np.array([0, len(self.end)], np.int64)
 
     def _add(self) -> None:
-        ids = [self.encode(w) for w in self.index.new]
+        ids = self.encode(self.index.new)
         self.index.new = []
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
@@ -80,9 +80,12 @@ class WordIds:
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text)."""
+        return self.of_words(*split_words(texts))
+
+    def of_words(self, at: np.ndarray, words: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts given by their words: start of each text's words and the end, words."""
         if len(self.index) > LIMIT:
             self._clear()
-        at, words = split_words(texts)
         index = self.index
         place = np.fromiter([index[w] for w in words.dictionary.to_pylist()], np.int64, len(words.dictionary))
         if index.new:
@@ -130,5 +133,5 @@ def tokenizers_word_ids(path: str) -> WordIds:
                 return [t.id for t in model.tokenize("".join(letters[b] for b in low.encode()))] + mark
         return tok.encode(word, add_special_tokens=False).ids
 
-    _cached["tokenizers", path] = WordIds(encode, [0])
+    _cached["tokenizers", path] = WordIds(lambda words: [encode(w) for w in words], [0])
     return _cached["tokenizers", path]
