@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, the same on this machine and on the executors."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once per application."""
     sc = spark.sparkContext

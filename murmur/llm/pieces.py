@@ -42,9 +42,10 @@ _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 class Automaton:
     """Aho-Corasick automaton over pieces, as tables for numpy.
 
-    ``goto[state, letter]`` is the next state with failure edges resolved; ``piece[state]`` is
+    ``goto[state, column]`` is the next state with failure edges resolved; ``piece[state]`` is
     the piece that ends in a state (or -1), ``out[state]`` the next state on its chain of
-    output links (0 ends it).
+    output links (0 ends it).  Only letters of pieces longer than one have a column; any other
+    letter leads to one state from everywhere, and ``letters`` holds that state, negated.
     """
 
     letters: dict[str, int]
@@ -54,10 +55,15 @@ class Automaton:
 
     @classmethod
     def build(cls, pieces: list[tuple[str, int]]) -> Automaton:
-        letters = {c: i + 1 for i, c in enumerate(sorted({c for p, _ in pieces for c in p}))}      # 0: any other
+        letters = {c: i + 1 for i, c in enumerate(sorted({c for p, _ in pieces if len(p) > 1 for c in p}))}      # 0: any other
         edges: list[dict[int, int]] = [{}]
         ends = [-1]
         for text, number in pieces:
+            if len(text) == 1 and text not in letters:
+                letters[text] = -len(edges)
+                edges.append({})
+                ends.append(number)
+                continue
             state = 0
             for c in text:
                 step = edges[state].get(letters[c])
@@ -67,7 +73,7 @@ class Automaton:
                     ends.append(-1)
                 state = step
             ends[state] = number
-        goto = np.zeros((len(edges), len(letters) + 1), np.int32)
+        goto = np.zeros((len(edges), max(letters.values(), default=0) + 1), np.int32)
         out = np.zeros(len(edges), np.int32)
         fail = np.zeros(len(edges), np.int32)
         queue = deque([0])
@@ -81,8 +87,13 @@ class Automaton:
                 out[step] = back if ends[back] >= 0 else out[back]
                 goto[state, letter] = step
                 queue.append(step)
+        alone = [-c for c in letters.values() if c < 0]
+        goto[alone] = goto[0]
         return cls(letters, goto, np.array(ends, np.int32), out)
 
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return np.where(code < 0, -code, self.goto[state, np.maximum(code, 0)])
+
 
 @dataclass
 class Model:
@@ -146,7 +157,8 @@ class Model:
         state = np.zeros(n, np.int32)
         for t in range(width):
             live = int(np.searchsorted(-size, -t, "left"))      # chunks come longest first
-            state = a.goto[state[:live], flat[start[:live] + t]]
+            code = flat[start[:live] + t]
+            state = a.step(state[:live], code)
             row = np.arange(live)
             at = np.where(a.piece[state] >= 0, state, a.out[state])
             while True:
@@ -161,8 +173,7 @@ class Model:
                 back[t + 1, row[better]] = piece[better]
                 at = a.out[at]
             # a character that is no piece by itself may be passed over
-            single = a.goto[0, flat[start[:live] + t]]
-            bare = np.flatnonzero((single == 0) | (a.piece[single] < 0))
+            bare = np.flatnonzero(a.piece[a.step(np.zeros_like(state), code)] < 0)
             if len(bare):
                 score = best[t, bare] + values[-1]
                 better = score > best[t + 1, bare]

@@ -7,19 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm.common import table
+from murmur.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def vocabulary(name: str) -> str:
-    """Path of a public vocabulary file on this machine and on the executors."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def query(key: str):
     def deco(fn: Query) -> Query:
         QUERIES[key] = fn
@@ -69,6 +63,12 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "embeddings"), threshold=0.98)
 
 
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.lm import lm_scores
+    return lm_scores(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     from murmur.llm import secrets
@@ -100,3 +100,9 @@ r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, d)

@@ -78,13 +78,13 @@ def test_whole_table_round_trip(spark):
 
 
 def test_automaton_reports_every_piece_that_ends_at_a_position():
-    a = pieces.Automaton.build([(p, i) for i, p in enumerate(["a", "ab", "bab", "bc", "bca", "c", "caa"])])
+    a = pieces.Automaton.build([(p, i) for i, p in enumerate(["a", "ab", "bab", "bc", "bca", "c", "caa", "z"])])
     state, found = 0, []
-    for c in "abccab":
-        state = a.goto[state, a.letters.get(c, 0)]
+    for c in "abccabz":
+        state = int(a.step(np.array([state]), np.array([a.letters.get(c, 0)]))[0])
         at, here = (state if a.piece[state] >= 0 else a.out[state]), []
         while at:
             here.append(int(a.piece[at]))
             at = a.out[at]
         found.append(here)
-    assert found == [[0], [1], [3, 5], [5], [0], [1]]
+    assert found == [[0], [1], [3, 5], [5], [0], [1], [7]]
