@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.common import ship
-from murmur.llm.wordids import WordIds, slices
+from murmur.llm.wordids import WordIds, large, slices
 
 MARK = "\u2581"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -226,7 +226,7 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text)."""
-        escaped = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), " ", MARK)
+        escaped = pc.replace_substring(large(texts), " ", MARK)
         if self.model.prefix:
             escaped = pc.if_else(pc.equal(pc.binary_length(escaped), 0), escaped, pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), escaped, pa.scalar("", pa.large_string())))
         # a border stands before each run of blank marks: between another character and a mark
@@ -258,7 +258,7 @@ def _coded(model: str, back: bool):
                 at = np.append(0, np.cumsum(count))
                 cols = [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))]
                 if back:
-                    want = pc.replace_substring(pc.fill_null(texts, ""), MARK, " ")
+                    want = pc.replace_substring(large(texts), MARK, " ")
                     cols.append(pc.equal(pa.array(code.model.decode(ids, at[1:]), want.type), want))
                 yield pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in _CODED.split(", ")][:len(cols)])
 

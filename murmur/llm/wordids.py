@@ -34,12 +34,21 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def large(texts: pa.Array) -> pa.Array:
+    """A string column as large strings of its own memory, NULL as empty.
+
+    (Arrow's string functions go astray on a cast slice whose offsets start above zero.)
+    """
+    none = pa.array([], pa.large_string())
+    return pc.fill_null(pa.concat_arrays([texts.cast(pa.large_string()), none]), "")
+
+
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     """(start of each text's words and the end, dictionary-encoded words) of a string column.
 
     Words are the runs between ASCII white space; an empty word may stand at the ends.
     """
-    listed = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    listed = pc.ascii_split_whitespace(large(texts))
     at = np.asarray(listed.offsets, np.int64)
     return at - at[0], listed.flatten().dictionary_encode()
 
