@@ -5,16 +5,16 @@ As streams, a file source plus its checkpoint remembers which raw files were
 already read, and each micro-batch runs the same batch operators through
 ``foreachBatch``:
 
-* ``curate_stream``   raw rows -> de-duplicated by ``comment_id`` within a
-                      watermark on ``ingested_at`` (bounded state) -> anti-join
-                      against what the sink already holds -> curation.
+* ``curate_stream``   raw rows -> anti-join against what the sink already holds
+                      -> curation.  No watermark: late rows and rows without an
+                      id are curated like any other.
 * ``annotate_stream`` curated rows -> pending for the model (anti-join against
                       the insight table) -> labeller -> insight rows.
 
-Every micro-batch writes to its own ``batch_id=N`` folder with overwrite, so
-a batch retried after a failure replaces its own output instead of
-duplicating it (idempotent sink).  Use ``trigger(availableNow=True)`` for
-scheduled catch-up runs.
+Every micro-batch writes to its own ``batch_id=N`` folder with overwrite and
+leaves that folder out when it looks up what is done already, so a batch
+retried after a failure replaces its own output: it neither loses nor repeats
+rows.  Use ``trigger(availableNow=True)`` for scheduled catch-up runs.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from murmur import schemas
 from murmur.operators import annotate, curate
@@ -34,46 +33,50 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return exists(spark, path)
 
 
-def _batch_writer(out_dir: str, build):
+def _done(spark: SparkSession, out_dir: str, schema, batch_id: int) -> DataFrame:
+    """Key columns of what earlier batches wrote (``schema``: a DDL string of those columns)."""
+    if not _exists(spark, out_dir):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch_id long").parquet(out_dir)
+    return rows.where(F.col("batch_id") != batch_id).drop("batch_id")
+
+
+def batch_writer(out_dir: str, build):
+    """``foreachBatch`` function: ``build(batch, batch_id)`` replaces the batch's own folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = build(batch)
-        result.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
+        build(batch, batch_id).write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
     return write
 
 
-def curate_stream(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-                  language_model: DataFrame | None = None, dedup_delay: str = "1 day",
-                  available_now: bool = True):
-    """Start (and, with ``available_now``, run to completion) the curation stream."""
-    schema = T.StructType(schemas.RAW_COMMENTS.fields)
-    raw = (spark.readStream.schema(schema).parquet(raw_dir)
-           .withWatermark("ingested_at", dedup_delay)
-           .dropDuplicatesWithinWatermark(["comment_id"]))
-
-    def build(batch: DataFrame) -> DataFrame:
-        done = (spark.read.parquet(out_dir).select("comment_id") if _exists(spark, out_dir)
-                else spark.createDataFrame([], "comment_id string"))
+def curate_batch_writer(spark: SparkSession, out_dir: str, language_model: DataFrame | None = None):
+    def build(batch: DataFrame, batch_id: int) -> DataFrame:
+        done = _done(spark, out_dir, "comment_id string", batch_id)
         return curate.curate(curate.pending_curation(batch, done), language_model)
+    return batch_writer(out_dir, build)
+
 
-    q = (raw.writeStream.foreachBatch(_batch_writer(out_dir, build))
+def curate_stream(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
+                  language_model: DataFrame | None = None, available_now: bool = True):
+    """Start (and, with ``available_now``, run to completion) the curation stream."""
+    raw = spark.readStream.schema(schemas.RAW_COMMENTS).parquet(raw_dir)
+    q = (raw.writeStream.foreachBatch(curate_batch_writer(spark, out_dir, language_model))
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
 
 
+def annotate_batch_writer(spark: SparkSession, insights_dir: str, model_name: str = "lexicon"):
+    def build(batch: DataFrame, batch_id: int) -> DataFrame:
+        seen = _done(spark, insights_dir, "comment_id string, model_name string", batch_id)
+        return annotate.lexicon_insight_rows(annotate.pending_inference(batch, seen, model_name), model_name)
+    return batch_writer(insights_dir, build)
+
+
 def annotate_stream(spark: SparkSession, curated_dir: str, insights_dir: str, checkpoint: str,
                     model_name: str = "lexicon", available_now: bool = True):
     """Label curated rows the model has not seen yet with the offline labeller."""
     curated_rows = spark.readStream.schema(schemas.CURATED_COMMENTS).parquet(curated_dir)
-
-    def build(batch: DataFrame) -> DataFrame:
-        seen = (spark.read.parquet(insights_dir).select("comment_id", "model_name")
-                if _exists(spark, insights_dir) else
-                spark.createDataFrame([], "comment_id string, model_name string"))
-        pending = annotate.pending_inference(batch, seen, model_name)
-        return annotate.lexicon_insight_rows(pending, model_name)
-
-    q = (curated_rows.writeStream.foreachBatch(_batch_writer(insights_dir, build))
+    q = (curated_rows.writeStream.foreachBatch(annotate_batch_writer(spark, insights_dir, model_name))
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()

@@ -61,6 +61,25 @@ def test_curate_stream_is_incremental(spark, scratch):
     assert out.select("comment_id").distinct().count() == raw.count()
 
 
+def test_retried_batch_and_late_rows_lose_nothing(spark, scratch):
+    out_dir = os.path.join(scratch, "curated")
+    rows = [("a", "hello there", "2024-05-10 00:00:00"), (None, "no id, one", "2024-05-10 00:00:00"),
+            (None, "no id, two", "2024-05-10 00:00:00"), ("b", "much later", "2024-05-01 00:00:00")]
+    raw = spark.createDataFrame([(i, t, ts, "v", "c") for i, t, ts in rows],
+                                "comment_id string, text_original string, ts string, video_id string, channel_id string")
+    raw = raw.select("*", F.to_timestamp("ts").alias("ingested_at"), F.lit(None).cast("string").alias("parent_id"),
+                     F.lit(None).cast("string").alias("author_channel_id"), F.lit(0).cast("bigint").alias("like_count")).drop("ts")
+    write = incremental.curate_batch_writer(spark, out_dir)
+    write(raw.where("text_original <> 'much later'"), 0)
+    write(raw.where("text_original <> 'much later'"), 0)          # the same batch again
+    assert spark.read.parquet(out_dir).count() == 3
+    write(raw.where("text_original = 'much later'"), 1)           # nine days older than the others
+    write(raw.where("text_original = 'much later'"), 1)
+    write(raw.where("comment_id = 'a'"), 2)                       # delivered again in a later file
+    out = spark.read.parquet(out_dir)
+    assert sorted(r.text_clean for r in out.collect()) == ["hello there", "much later", "no id, one", "no id, two"]
+
+
 def test_annotate_stream_labels_each_comment_once(spark, scratch):
     cur_dir = os.path.join(scratch, "cur")
     ins_dir = os.path.join(scratch, "ins")
