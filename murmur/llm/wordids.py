@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from murmur.llm.common import gather
 
-LIMIT = 600_000
+LIMIT = 400_000
 SLICE_BYTES = 8 << 20
 
 
