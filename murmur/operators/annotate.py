@@ -380,7 +380,7 @@ def annotate(requests: DataFrame, fn: Callable[[str], str], text_col: str = "tex
                         reply, err = r, None
                         break
                     except Exception as e:  # recorded as a reject after the last attempt
-                        err = f"{type(e).__name__}: {e}"[:500]
+                        err = f"{type(e).__name__}: {e}"
                 out.append((cid, reply, err, n))
             yield pd.DataFrame(out, columns=["comment_id", "reply_json", "error", "attempts"])
 

@@ -239,5 +239,11 @@ def q_aspect_requests(spark: SparkSession, d: str) -> DataFrame:
 
 @query("ngram_counts")
 def q_ngram_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = fx.long_comments(spark, d).select("video_id", clean_text(F.col("text_original")).alias("text_clean"))
+    return ngrams.ngram_counts(docs, sizes=(2, 3))
+
+
+@query("ngram_top20")
+def q_ngram_top20(spark: SparkSession, d: str) -> DataFrame:
     docs = fx.long_comments(spark, d).select("video_id", clean_text(F.col("text_original")).alias("text_clean"))
     return ngrams.top_ngrams(docs, sizes=(2, 3), k=20)

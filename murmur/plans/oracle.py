@@ -472,7 +472,7 @@ def norm_sentiment(x: str) -> str:
 
 def _register_replies() -> None:
     from murmur.sources.fixtures import ALIAS_WORDS, aspect_reply_sql, tagging_reply_sql, video_item_sql
-    CTES["video_items"] = f"SELECT {video_item_sql('duck')} AS item FROM orders WHERE o_custkey % 22 <> 19"
+    CTES["video_items"] = f"SELECT {video_item_sql('duck')} AS item FROM orders"
     CTES["tag_base"] = f"""
 SELECT 'c' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) AS comment_id,
        'v' || CAST(user_id % 20 AS VARCHAR) AS video_id,
@@ -643,6 +643,14 @@ SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(1 AS INTEGER), 'use
        'Aspect: "' || aspect_name || '"' || chr(10) || chr(10) || 'Comment:' || chr(10) || text_clean FROM asp_req""")
 
     register("ngram_counts", """
+SELECT video_id, n, gram, count(*) AS "count"
+FROM (SELECT video_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT video_id, string_split(text_clean, ' ') AS w FROM lc_clean WHERE text_clean <> '') d,
+           (VALUES (2), (3)) ns(n),
+           unnest(range(1, len(w) - n + 2)) AS r(i))
+GROUP BY ALL""")
+
+    register("ngram_top20", """
 SELECT * FROM (
   SELECT video_id, n, gram, "count",
          CAST(row_number() OVER (PARTITION BY video_id, n ORDER BY "count" DESC, gram ASC) AS INTEGER) AS rank

@@ -59,7 +59,7 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
 def reset(spark: SparkSession, root: str, table: str) -> None:
     """Drop every row and recreate the table empty with the same schema (irreversible)."""
     empty = spark.createDataFrame([], schemas.TABLES[table])
-    _conformed(empty, table).write.mode("overwrite").partitionBy(*PARTITIONING[table]).parquet(
+    _conformed(empty, table).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*PARTITIONING[table]).parquet(
         table_path(root, table))
 
 

