@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -86,10 +87,17 @@ def _label_text(v: Column, field: str) -> Column:
     return labels.json_string(labels.json_field(v, field))
 
 
+def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, on, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def normalized_aspects(items: DataFrame, replies: DataFrame, reply_col: str = "aspect_json") -> DataFrame:
     """Work items + aspect replies -> per run an ordered array of normalised aspects."""
     keys = [c for c in RUN_KEY if c in items.columns]
-    j = items.join(replies, keys + ["pos"], "left")
+    j = _null_safe_left(items, replies, keys + ["pos"])
     v = F.coalesce(_parsed(reply_col), F.parse_json(F.lit("{}")))
     asp_field = labels.json_field(v, "aspect")
     # a falsy reply value falls back to the requested name; a truthy non-string is no label
@@ -121,7 +129,7 @@ def prediction_rows(tagging: DataFrame, aspect_replies: DataFrame,
         labels.to_bool(labels.json_field(v, "is_question")).alias("is_question"),
         labels.to_bool(labels.json_field(v, "competitor_mention")).alias("competitor_mention"),
         _parsed(reply_col).isNull().alias("tag_error"))
-    out = t.join(asp, keys, "left")
+    out = _null_safe_left(t, asp, keys)
     return out.select(
         *keys, "general_sentiment", "topic",
         F.coalesce("aspects", F.array().cast(T.ArrayType(labels_struct()))).alias("aspects"),

@@ -66,14 +66,13 @@ def fit(examples: DataFrame, text_col: str = "text_clean", lang_col: str = "lang
 def scores(df: DataFrame, text_col: str, model: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., _best_lang, _top_score) of the best language per row key.
 
-    Trigrams are exploded and matched against the model with a broadcast
-    hash join (the model has at most ``K x languages`` rows, so its size is
-    bounded by construction, not by the data); partial aggregation sums the
+    Trigrams are exploded and joined with the model; Spark broadcasts it only
+    where its measured size is below the threshold.  Partial aggregation sums the
     weights per (key, language) inside each task, so only a few rows per
     comment reach the shuffle.  Ties go to the smaller language code.
     """
     grams = explode_grams(df, text_col, keys)
-    per_lang = (grams.join(F.broadcast(model.select("gram", "lang", "weight")), "gram")
+    per_lang = (grams.join(model.select("gram", "lang", "weight"), "gram")
                 .groupBy(*keys, "lang").agg(F.sum("weight").alias("score")))
     best = per_lang.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("lang"))).alias("b"))
     return best.select(*keys, F.col("b.lang").alias("_best_lang"), (-F.col("b.neg")).alias("_top_score"))
@@ -83,21 +82,24 @@ def predict(df: DataFrame, text_col: str, model: DataFrame, out_col: str = "lang
             keys: list[str] | None = None) -> DataFrame:
     """``df`` plus ``out_col``: the predicted language of ``text_col``.
 
-    The prediction is joined back on ``keys`` plus a 64-bit hash of the text
-    (so duplicate ids with different texts stay apart).  The right side is
+    The prediction is joined back on ``keys`` (NULL as empty, so rows without an
+    id get their language too) plus a 64-bit hash of the text (so duplicate ids
+    with different texts stay apart).  Rows that share all of these have one text;
+    their weights add up, which changes no arg-max.  The right side is
     grouped on exactly the join keys, so when ``out_col`` is not used later
     Catalyst removes the whole model and scoring from the plan.
     """
     keys = list(keys or ["comment_id"])
     th = "_text_hash"
-    hashed = df.withColumn(th, F.xxhash64(F.col(text_col)))
-    best = scores(hashed.select(*keys, th, text_col), text_col, model, keys + [th])
-    out = hashed.join(best, keys + [th], "left")
+    by = {f"_key_{k}": F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys}
+    hashed = df.withColumns({**by, th: F.xxhash64(F.col(text_col))})
+    best = scores(hashed.select(*by, th, text_col), text_col, model, [*by, th])
+    out = hashed.join(best, [*by, th], "left")
     text = F.col(text_col)
     lang = (F.when(F.coalesce(F.char_length(text), F.lit(0)) < MIN_CHARS, F.lit(UNKNOWN))
             .when(F.col("_best_lang").isNull() | (F.col("_top_score") <= 0), F.lit(UNKNOWN))
             .otherwise(F.col("_best_lang")))
-    return out.withColumn(out_col, lang).drop(th, "_best_lang", "_top_score")
+    return out.withColumn(out_col, lang).drop(*by, th, "_best_lang", "_top_score")
 
 
 def accuracy(pred: DataFrame, truth_col: str = "lang", pred_col: str = "language") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from murmur.functions import labels
 from murmur.functions.ontology import normalize_aspect, normalize_sentiment, normalize_topic
 from murmur.functions.text import char_len, clean_text, token_count
-from murmur.operators import annotate
+from murmur.operators import annotate, langid
 
 CLEAN = [
     (None, "", 0, 0),
@@ -132,6 +132,21 @@ def test_aspect_name_preparation_and_no_dedup_after_normalisation(spark):
     assert [a.evidence for a in rows[0].aspects] == ["(alıntı yok)"] * 4
 
 
+def test_run_without_video_keeps_its_aspects(spark):
+    tag = spark.createDataFrame([("c1", None, '{"aspect_names": ["battery"]}')], "comment_id string, video_id string, tagging_json string")
+    replies = spark.createDataFrame([("c1", None, 0, "{}")], "comment_id string, video_id string, pos int, aspect_json string")
+    r = annotate.prediction_rows(tag, replies).collect()
+    assert [(x.comment_id, x.video_id, [a.aspect for a in x.aspects], x.had_error) for x in r] == [("c1", None, ["battery"], False)]
+
+
+def test_language_of_rows_without_id(spark):
+    seen = spark.createDataFrame([("en", "the cat sat on the mat with the hat"), ("fr", "le chat est sur la table avec le chien")], "lang string, text_clean string")
+    text = "the cat with the hat"
+    df = spark.createDataFrame([("x", text), (None, text), (None, text), ("", text), (None, None)], "comment_id string, text_clean string")
+    got = langid.predict(df, "text_clean", langid.fit(seen)).collect()
+    assert sorted((r.comment_id or "-", r.language) for r in got) == [("-", "en")] * 3 + [("-", "unknown"), ("x", "en")]
+
+
 def test_malformed_reply_keeps_row_with_defaults(spark):
     tag = spark.createDataFrame([("c1", '{"general_sentiment": "pos')], "comment_id string, tagging_json string")
     replies = spark.createDataFrame([], "comment_id string, pos int, aspect_json string")
