@@ -298,7 +298,8 @@ TAGGING_SYSTEM = (
 )
 TAGGING_SYSTEM_FORCED = TAGGING_SYSTEM.replace(
     "Use mixed only when the comment is clearly both positive and negative.",
-    "Do not answer neutral: choose positive, negative or mixed.")
+    "Do not answer neutral: choose positive, negative or mixed.").replace(
+    ", ".join(SENTIMENTS), ", ".join(s for s in SENTIMENTS if s != "neutral"))
 REASONING_USER = "Think through the comment step by step (topic, aspects, tone, signals); do not write JSON yet.\n\nComment:\n"
 JSON_USER = "Comment:\n"
 JSON_AFTER_REASONING = "Now give only the JSON object described above."

@@ -75,8 +75,9 @@ def aspect_sentiment_pivot_ordered(pivot: DataFrame) -> DataFrame:
 
 
 def sentiment_choices(f5: DataFrame) -> DataFrame:
-    """Filter choices: distinct non-NULL sentiments per video."""
-    return f5.where(F.col("general_sentiment").isNotNull()).select("video_id", "general_sentiment").distinct()
+    """Filter choices: distinct non-NULL sentiments per video, sorted."""
+    return (f5.where(F.col("general_sentiment").isNotNull()).select("video_id", "general_sentiment").distinct()
+            .orderBy("video_id", "general_sentiment"))
 
 
 def comments_by_sentiment(f5: DataFrame, sentiment: str | None = None) -> DataFrame:

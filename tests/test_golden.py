@@ -9,6 +9,7 @@ from murmur.functions import labels
 from murmur.functions.ontology import normalize_aspect, normalize_sentiment, normalize_topic
 from murmur.functions.text import char_len, clean_text, token_count
 from murmur.operators import annotate, langid
+from murmur.plans import metrics
 
 CLEAN = [
     (None, "", 0, 0),
@@ -147,6 +148,18 @@ def test_language_of_rows_without_id(spark):
     assert sorted((r.comment_id or "-", r.language) for r in got) == [("-", "en")] * 3 + [("-", "unknown"), ("x", "en")]
 
 
+def test_sentiment_choices_are_sorted_and_all_keeps_every_row(spark):
+    f5 = spark.createDataFrame([("v", s, "t", "x", False) for s in ("positive", "negative", None, "mixed", "negative")],
+                               "video_id string, general_sentiment string, topic string, text_clean string, purchase_intent boolean")
+    assert [r.general_sentiment for r in metrics.sentiment_choices(f5).collect()] == ["mixed", "negative", "positive"]
+    assert metrics.comments_by_sentiment(f5).count() == 5
+    assert metrics.comments_by_sentiment(f5, "negative").count() == 2
+
+
+def test_forced_choice_request_does_not_offer_neutral():
+    assert "(one of: positive, negative, mixed)" in annotate.TAGGING_SYSTEM_FORCED
+
+
 def test_malformed_reply_keeps_row_with_defaults(spark):
     tag = spark.createDataFrame([("c1", '{"general_sentiment": "pos')], "comment_id string, tagging_json string")
     replies = spark.createDataFrame([], "comment_id string, pos int, aspect_json string")
