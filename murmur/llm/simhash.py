@@ -261,7 +261,11 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest
     doc_id reachable over links of at most ``max_bits`` differing bits, itself included)."""
-    fps = staged(fingerprints(docs, shingle), "simhash-fp")
+    return _grouped(staged(fingerprints(docs, shingle), "simhash-fp"), max_bits)
+
+
+def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """doc_id, fingerprint, component_id of staged fingerprints."""
     reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = connected_components(links(fps, max_bits)).withColumnsRenamed({"node": "fp", "component": "root"})
     placed = staged(reps.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash-roots")
@@ -276,3 +280,17 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataF
     keep = (simhash_groups(docs, shingle, max_bits).filter("doc_id = component_id")
             .select(F.col("doc_id").alias("_keep")).distinct())
     return docs.join(keep, docs["doc_id"].cast("long") == F.col("_keep"), "left_semi")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` with exactly one row of each group: of the smallest doc_id, NULL last, and of
+    rows that repeat it the first by a key that every row gets when it is written here."""
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    # groups by row key: the smallest key stands for a group, also where all ids are NULL
+    fps = staged(fingerprints(rows.select(F.col("_row").alias("doc_id"), "text"), shingle), "simhash-fp")
+    groups = _grouped(fps, max_bits).select(F.col("doc_id").alias("_row"), "component_id")
+    ids = rows.select("_row", F.col("doc_id").cast("long").alias("id"))
+    keep = (groups.join(ids, "_row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("first"))
+            .select(F.col("first._row").alias("_row")))
+    return rows.join(keep, "_row", "left_semi").select(*docs.columns)

@@ -88,3 +88,14 @@ def test_gray_rank_orders_neighbours_one_bit_apart(spark):
     rows = x.select("x", simhash._gray_rank(F.col("x")).alias("r")).orderBy("r").collect()
     assert [r["r"] for r in rows] == list(range(256))
     assert all(bin(a["x"] ^ b["x"]).count("1") == 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_one_row_of_each_group_also_without_ids(spark):
+    copy, other, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(None, copy, 1), (7, copy, 2), (3, copy, 3), (3, copy, 4), (None, other, 5), (None, other, 6), (None, third, 7), (9, "alone", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    kept = simhash.one_of_each_group(df)
+    assert kept.columns == df.columns
+    got = sorted((r["text"], r["doc_id"]) for r in kept.collect())
+    assert got == sorted([(copy, 3), (other, None), (third, None), ("alone", 9)])
+    assert simhash.one_of_each_group(df.limit(0)).collect() == []
