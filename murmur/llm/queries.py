@@ -106,3 +106,70 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, d)
+
+
+#: Rows whose text is lower-cased (A-Z only) between manifest and verification: one in three.
+def _today(doc_id, text):
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.crc32(doc_id.cast("string")) % 3 == 0, lower).otherwise(text)
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.manifest import manifest
+    docs = table(spark, d, "documents")
+    return manifest(docs, now={"text": _today(F.col("doc_id"), F.col("text"))})
+
+
+# crc32 of the decimal doc_id: a table of one step per byte, eight shifts each
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], [ascii(ch)::BIGINT FOR ch IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_FIELD = "coalesce(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_ROW = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, sha256({_ROW.format("text")}) AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN sha256({_ROW.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows),
+nodes AS (
+  SELECT lang, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, any_value(lvl) + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY lang, pos // 8),
+sub AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, subroot AS h, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 7) // 8
+  FROM tops WHERE n > 1 GROUP BY pos // 8),
+root AS (SELECT h AS root FROM tops WHERE n = 1),
+-- siblings of every node: what stands left and right of it in its run
+kin AS (
+  SELECT lang, lvl, pos, n, coalesce(string_agg(h, '') OVER (PARTITION BY lang, lvl, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY lang, lvl, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes),
+top_kin AS (
+  SELECT lvl, pos, n, coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tops),
+climb AS (
+  SELECT e.lang, e.pos AS leaf_pos, e.pos, 0 AS lvl, coalesce(e.tampered, e.leaf) AS h, '' AS proof, false AS done FROM leaves e
+  UNION ALL
+  SELECT c.lang, c.leaf_pos, c.pos // 8, c.lvl + 1, CASE WHEN k.n > 1 THEN sha256(k.l || c.h || k.r) ELSE c.h END,
+         CASE WHEN k.n > 1 THEN c.proof || k.l || k.r ELSE c.proof END, k.n = 1
+  FROM climb c JOIN kin k ON k.lang IS NOT DISTINCT FROM c.lang AND k.lvl = c.lvl AND k.pos = c.pos WHERE NOT c.done),
+over AS (
+  SELECT c.lang, c.leaf_pos, s.pos, 0 AS lvl, c.h, c.proof, false AS done
+  FROM climb c JOIN sub s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.done
+  UNION ALL
+  SELECT c.lang, c.leaf_pos, c.pos // 8, c.lvl + 1, CASE WHEN k.n > 1 THEN sha256(k.l || c.h || k.r) ELSE c.h END,
+         CASE WHEN k.n > 1 THEN c.proof || k.l || k.r ELSE c.proof END, k.n = 1
+  FROM over c JOIN top_kin k ON k.lvl = c.lvl AND k.pos = c.pos WHERE NOT c.done)
+SELECT e.doc_id, e.leaf, s.subroot, t.root, sha256(o.proof) AS proof_sha256, o.h AS folded_root, o.h = t.root AS verified
+FROM leaves e JOIN over o ON o.lang IS NOT DISTINCT FROM e.lang AND o.leaf_pos = e.pos AND o.done
+JOIN sub s ON s.lang IS NOT DISTINCT FROM e.lang CROSS JOIN root t
+"""
