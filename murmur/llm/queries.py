@@ -173,3 +173,42 @@ SELECT e.doc_id, e.leaf, s.subroot, t.root, sha256(o.proof) AS proof_sha256, o.h
 FROM leaves e JOIN over o ON o.lang IS NOT DISTINCT FROM e.lang AND o.leaf_pos = e.pos AND o.done
 JOIN sub s ON s.lang IS NOT DISTINCT FROM e.lang CROSS JOIN root t
 """
+
+
+@query("op13_lexical_search")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.balltree import rank
+    return rank(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLES["op13_lexical_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+n AS (
+  SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+s AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM t, s GROUP BY term),
+q AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+x AS (
+  SELECT q.item_id, n.r, n.doc_id, sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * n.n * s.docs) // s.words)))) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN n ON n.r = t.r CROSS JOIN s GROUP BY ALL),
+k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id,
+         CAST(score AS BIGINT) AS score
+  FROM x WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10
+"""
+
+
+@query("op11_quality_rules")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    from murmur.llm.rules import quality
+    return quality(table(spark, d, "documents"), table(spark, d, "labels"))
