@@ -20,11 +20,12 @@ import html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur.functions.ontology import PY_SPACE_CLASS
+from murmur.session import ship_package
 
 URL_RE = r"(?U)https?://[^\s\x1c-\x1f]+"
 SPACE_RUN_RE = r"(?U)" + PY_SPACE_CLASS + r"+"
@@ -53,6 +54,7 @@ def turkish_lower(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Cleaned, NFC, Turkish-lower-cased comment text; never NULL."""
+    ship_package(SparkSession.active())
     t = unescape_nfc(c)
     t = F.regexp_replace(t, URL_RE, " ")
     t = F.regexp_replace(t, SPACE_RUN_RE, " ")

@@ -12,7 +12,7 @@ the data work around the labeller is relational and distributed:
                          normalised to the ontology (sentiment/topic/aspect,
                          evidence default, lenient booleans); unparsable
                          replies keep their row with defaults and ``had_error``
-* ``lexicon_tags``       an offline labeller: lexicon regexes in one projection
+* ``lexicon_tags``       an offline labeller: one suffix-aware scan for all phrases
 * ``aspect_evidence``    first sentence mentioning the aspect, <= 20 words
 * ``tagging_requests`` / ``aspect_requests``  chat-message tables for an
                          external labeller (exported as JSON lines)
@@ -152,49 +152,51 @@ def aspects_text(c: Column) -> Column:
 
 # ---------------------------------------------------------------------------
 # The phrase -> aspect hints and purchase phrases given to the
-# labeller in the original prompt (Turkish), kept verbatim and in order.
+# labeller in the original prompt (Turkish), in its order; cleaned text is
+# lower-case, so they are too.  "X ile Y" is a pattern, see ``COMPARED``.
 # ---------------------------------------------------------------------------
 ASPECT_HINTS = [
-    ("price", ["fiyat", "pahalı", "ucuz", "bütçe"]),
-    ("value_for_money", ["fiyat/performans", "değer", "paranın hakkı"]),
-    ("performance", ["performans", "hız", "donanım", "oyun"]),
-    ("camera", ["kamera", "fotoğraf", "çekim"]),
-    ("battery", ["batarya", "şarj", "pil ömrü"]),
-    ("display", ["ekran", "görüntü", "panel"]),
-    ("audio", ["ses", "mikrofon", "hoparlör", "kulaklık çıkışı"]),
-    ("design", ["tasarım", "görünüm"]),
-    ("build_quality", ["dayanıklılık", "kalite", "ömür"]),
-    ("software", ["yazılım", "arayüz", "güncelleme"]),
-    ("thermal", ["ısınma", "termal"]),
-    ("connectivity", ["5g", "wifi", "bluetooth", "bağlantı"]),
-    ("sponsorship", ["sponsorluk", "reklam", "güven"]),
-    ("channel_trust", ["kanal", "sunum", "anlatım"]),
-    ("comparison", ["karşılaştırma"]),
-    ("storage", ["sd kart", "hafıza kartı", "depolama", "gb"]),
-    ("customer_service", ["servis", "garanti", "müşteri hizmetleri"]),
+    (["price"], ["fiyat", "pahalı", "ucuz", "bütçe"]),
+    (["value_for_money"], ["fiyat/performans oranı", "değer", "paranın hakkı"]),
+    (["performance"], ["performans", "hız", "donanım", "oyun"]),
+    (["camera"], ["kamera", "fotoğraf", "çekim"]),
+    (["battery"], ["batarya", "şarj", "pil ömrü"]),
+    (["display"], ["ekran", "görüntü", "panel"]),
+    (["audio"], ["ses", "mikrofon", "hoparlör", "kulaklık çıkışı"]),
+    (["design"], ["tasarım", "görünüm"]),
+    (["build_quality", "durability"], ["dayanıklılık", "kalite", "ömür"]),
+    (["software"], ["yazılım", "arayüz", "güncelleme"]),
+    (["thermal"], ["ısınma", "termal"]),
+    (["connectivity"], ["5g", "wifi", "bluetooth", "bağlantı"]),
+    (["sponsorship"], ["sponsorluk", "reklam", "güven"]),
+    (["channel_trust"], ["kanal", "sunum", "anlatım"]),
+    (["comparison"], ["karşılaştırma", "X ile Y"]),
+    (["storage"], ["sd kart", "hafıza kartı", "depolama", "gb"]),
+    (["customer_service"], ["servis", "garanti", "müşteri hizmetleri"]),
 ]
 PURCHASE_PHRASES = ["alacağım", "almalı mıyım", "alsam mı", "tavsiye eder misiniz"]
 # ---------------------------------------------------------------------------
 
-# Our own additions (not from the original): English glosses, a small polarity
+# Our own additions (not from the original): further phrases, a small polarity
 # lexicon and the aspect -> topic priority used to pick one topic.
-ENGLISH_HINTS = {
-    "price": ["price", "expensive", "cheap", "budget"],
-    "value_for_money": ["value for money", "worth it"],
-    "performance": ["performance", "speed", "fast", "slow", "game"],
+MORE_HINTS = {
+    "price": ["price", "expensive", "cheap", "budget", "pahalıca"],
+    "value_for_money": ["fiyat/performans", "value for money", "worth it"],
+    "performance": ["hızlı", "performanslı", "performance", "speed", "fast", "slow", "game"],
     "camera": ["camera", "photo", "video quality"],
-    "battery": ["battery", "charge", "charging"],
+    "battery": ["pil", "battery", "charge", "charging"],
     "display": ["screen", "display"],
     "audio": ["sound", "audio", "speaker", "microphone"],
     "design": ["design", "look"],
-    "build_quality": ["build quality", "quality"],
+    "build_quality": ["kaliteli", "build quality", "quality"],
+    "durability": ["dayanıklı", "sağlam", "durable", "durability"],
     "software": ["software", "update", "interface"],
-    "thermal": ["heat", "overheat", "thermal"],
+    "thermal": ["ısınıyor", "heat", "overheat", "thermal"],
     "connectivity": ["signal", "connection"],
     "sponsorship": ["sponsor", "sponsored", "advert"],
     "channel_trust": ["channel", "presentation"],
-    "comparison": ["compare", "comparison", "versus", "vs"],
-    "storage": ["storage", "memory card"],
+    "comparison": ["kıyas", "kıyaslama", "karşılaştır", "karşılaştırır", "compare", "comparison", "versus", "vs"],
+    "storage": ["hafıza", "storage", "memory card"],
     "customer_service": ["service", "warranty", "support"],
 }
 POSITIVE_WORDS = ["iyi", "güzel", "harika", "mükemmel", "süper", "good", "great", "excellent", "love", "best"]
@@ -209,82 +211,146 @@ ASPECT_TOPIC = [
 
 
 def default_lexicon() -> dict[str, list[str]]:
-    lex: dict[str, list[str]] = {a: list(p) for a, p in ASPECT_HINTS}
-    for a, extra in ENGLISH_HINTS.items():
-        lex.setdefault(a, []).extend(extra)
-    return lex
+    lex: dict[str, list[str]] = {a: [] for a in ASPECTS}
+    for aspects, phrases in ASPECT_HINTS:
+        for a in aspects:
+            lex[a] += phrases
+    for a, extra in MORE_HINTS.items():
+        lex[a] += extra
+    return {a: phrases for a, phrases in lex.items() if phrases}
 
 
-WORD_EDGE = r"[^\p{L}\p{N}_]"
-_META = set("\\.^$*+?()[]{}|")
+POSITIVE, NEGATIVE, PURCHASE = "+", "-", "buy"
+COMPARED = "X ile Y"
+#: "X with Y" compares if a word of comparing follows in the sentence (matched in doubled text).
+COMPARED_PATTERN = r"[\p{L}\p{N}_] +ile +[\p{L}\p{N}_].*[^\p{L}\p{N}_](?:arasında|fark|hangi|kıyas|karşılaştır)"
+EDGE = r"[^\p{L}\p{N}_]"
+
+# Inflectional endings of Turkish nouns (number, possessive, case, -ki, copula) and the English plural.
+# Endings that make another word of the stem (-siz "without", -li "with", -ci) are left out on purpose.
+_ENDINGS = (
+    "l[ae]r", "(?:[ıiuü]|s[ıiuü])(?:n[ıiuü]n|n[ıiuü]|n[ae]|nd[ae]n|nd[ae]|yl[ae])?", "[ıiuü]m[ıiuü]z", "[ıiuü]n[ıiuü]z", "[ıiuü][mn]", "m[ıiuü]z",
+    "n[ıiuü]z", "[mn]", "n?[ıiuü]n", "[yn][ıiuü]", "[yn]?[ae]", "[dt][ae]n?", "y?l[ae]", "ki", "[dt][ıiuü]r", "y?[dt][ıiuü]", "e?s")
 
 
 def _escape(phrase: str) -> str:
-    return "".join("\\" + ch if ch in _META else ch for ch in phrase)
+    return "".join("\\" + ch if ch in "\\.^$*+?()[]{}|" else ch for ch in phrase)
+
+
+def _stems(phrase: str) -> list[str]:
+    """The phrase and, if its last consonant softens before a vowel, the softened form."""
+    soft = {"k": "ğ", "p": "b", "ç": "c", "t": "d"}.get(phrase[-1])
+    return [phrase, phrase[:-1] + soft] if soft and not phrase.isascii() or soft == "ğ" and len(phrase) > 4 else [phrase]
+
+
+def stem_tags(lexicon: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
+    """Every stem -> its tags: aspects, ``POSITIVE``, ``NEGATIVE``, ``PURCHASE``."""
+    groups = {**(lexicon or default_lexicon()), POSITIVE: POSITIVE_WORDS, NEGATIVE: NEGATIVE_WORDS, PURCHASE: PURCHASE_PHRASES}
+    out: dict[str, list[str]] = {}
+    for tag, phrases in groups.items():
+        for p in phrases:
+            for stem in _stems(p) if p != COMPARED else []:
+                if tag not in out.setdefault(stem, []):
+                    out[stem].append(tag)
+    return out
 
 
-def _phrase_regex(phrases: list[str]) -> str:
-    """Whole-phrase match: start/end of text or a non-word character on both sides.
+def stem_pattern(stems: list[str]) -> str:
+    """One alternation over all stems, each a whole word with up to three endings; group 1 is the stem.
 
-    Written without look-around so the same pattern runs in other regex
-    engines; adjacent matches share no characters, counts are non-overlapping.
+    Written without look-around, so that other regex engines take it as well: it consumes the
+    characters around the word, which is why ``spaced`` doubles them.  Stems are grouped by their first
+    letter and the longest comes first.
     """
-    alts = "|".join(_escape(p) for p in sorted(set(phrases), key=lambda x: (-len(x), x)))
-    return "(^|" + WORD_EDGE + ")(?:" + alts + ")($|" + WORD_EDGE + ")"
+    by_letter: dict[str, list[str]] = {}
+    for s in sorted(set(stems), key=lambda s: (-len(s), s)):
+        by_letter.setdefault(s[0], []).append(s)
+    words = "|".join(_escape(first) + "(?:" + "|".join(_escape(s[1:]).replace(" ", " +").replace("/", "/+") for s in group) + ")"
+                     for first, group in sorted(by_letter.items()))
+    return f"{EDGE}({words})(?:{'|'.join(_ENDINGS)}){{0,3}}{EDGE}"
+
+
+def spaced(sentence: Column) -> Column:
+    """The sentence between blanks, every character that is no part of a word doubled."""
+    return F.regexp_replace(F.concat(F.lit(" "), sentence, F.lit(" ")), f"({EDGE})", "$1$1")
+
+
+SENTENCE_SPLIT = r"[.!?\n]+"
+MAX_EVIDENCE_WORDS = 20
+
+
+def sentences(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, SENTENCE_SPLIT), lambda s: F.trim(s)), lambda s: s != "")
+
+
+def mentions(text: Column, lexicon: dict[str, list[str]] | None = None) -> Column:
+    """array<struct<sentence, tags>> in the order of the text: what every sentence with a
+    phrase of the lexicon mentions.  Labels and evidence both come from this one matcher."""
+    tags = stem_tags(lexicon)
+    of_stem = F.create_map(*[x for stem, t in tags.items() for x in (F.lit(stem), F.array(*map(F.lit, t)))])
+    pattern = stem_pattern(list(tags))
+    compared = [a for a, phrases in (lexicon or default_lexicon()).items() if COMPARED in phrases]
+
+    def found(sentence: Column) -> Column:
+        wide = spaced(sentence)
+        # a stem of several words was matched with doubled blanks
+        stems = F.transform(F.regexp_extract_all(wide, F.lit(pattern), F.lit(1)),
+                            lambda x: F.regexp_replace(F.regexp_replace(x, " +", " "), "/+", "/"))
+        own = F.flatten(F.transform(stems, lambda x: F.element_at(of_stem, x)))
+        more = F.when(wide.rlike(COMPARED_PATTERN), F.array(*map(F.lit, compared))).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.concat(own, more))
+
+    each = F.transform(sentences(F.coalesce(text, F.lit(""))), lambda x: F.struct(x.alias("sentence"), found(x).alias("tags")))
+    return F.filter(each, lambda m: F.size(m.getField("tags")) > 0)
+
+
+def _tag_columns(comments: DataFrame, text_col: str, lexicon: dict[str, list[str]] | None) -> DataFrame:
+    """``comments`` with mentions, all their tags, and the aspects among them in the lexicon's order."""
+    aspects = F.array(*map(F.lit, lexicon or default_lexicon()))
+    return (comments.withColumn("mentions", mentions(F.col(text_col), lexicon))
+            .withColumn("tags", F.array_distinct(F.flatten(F.transform("mentions", lambda m: m.getField("tags")))))
+            .withColumn("aspect_names", F.filter(aspects, lambda a: F.array_contains(F.col("tags"), a))))
 
 
 def lexicon_tags(comments: DataFrame, text_col: str = "text_clean",
                  lexicon: dict[str, list[str]] | None = None) -> DataFrame:
-    """Offline labels in one projection (no shuffle): aspects by phrase regex,
-    question by '?', purchase by phrase, sentiment by polarity word counts,
-    topic by the first aspect with a topic in priority order (else product
-    review when some aspect matched, else offtopic)."""
-    lex = lexicon or default_lexicon()
+    """Offline labels in one projection (no shuffle): aspects, purchase and polarity by one scan of the
+    text for inflected phrases, question by '?', topic by the first aspect with a topic in
+    priority order (else product review when some aspect matched, else offtopic)."""
     t = F.col(text_col)
-    hits = F.array(*[F.when(t.rlike(_phrase_regex(ph)), F.lit(a)) for a, ph in lex.items()])
-    found = F.filter(hits, lambda x: x.isNotNull())
-    pos = F.size(F.regexp_extract_all(t, F.lit(_phrase_regex(POSITIVE_WORDS)), F.lit(0)))
-    neg = F.size(F.regexp_extract_all(t, F.lit(_phrase_regex(NEGATIVE_WORDS)), F.lit(0)))
-    sentiment = (F.when((pos > 0) & (neg > 0), F.lit("mixed"))
-                 .when(pos > 0, F.lit("positive")).when(neg > 0, F.lit("negative"))
+    tagged = _tag_columns(comments.select("comment_id", "video_id", "channel_id", t), text_col, lexicon)
+    has = lambda tag: F.array_contains(F.col("tags"), tag)
+    found = F.col("aspect_names")
+    sentiment = (F.when(has(POSITIVE) & has(NEGATIVE), F.lit("mixed"))
+                 .when(has(POSITIVE), F.lit("positive")).when(has(NEGATIVE), F.lit("negative"))
                  .otherwise(F.lit("neutral")))
     topic = F.lit(None).cast("string")
     for a, tp in reversed(ASPECT_TOPIC):
         topic = F.when(F.array_contains(found, F.lit(a)), F.lit(tp)).otherwise(topic)
     topic = F.coalesce(topic, F.when(F.size(found) > 0, F.lit("product_review")), F.lit("offtopic"))
-    return comments.select(
-        "comment_id", "video_id", "channel_id", t.alias(text_col),
+    return tagged.select(
+        "comment_id", "video_id", "channel_id", t,
         sentiment.alias("general_sentiment"), topic.alias("topic"),
-        found.alias("aspect_names"),
-        t.rlike(_phrase_regex(PURCHASE_PHRASES)).alias("purchase_intent"),
-        t.contains("?").alias("is_question"),
-        F.array_contains(found, F.lit("comparison")).alias("competitor_mention"))
+        found, has(PURCHASE).alias("purchase_intent"),
+        F.coalesce(t.contains("?"), F.lit(False)).alias("is_question"),
+        F.array_contains(found, F.lit("comparison")).alias("competitor_mention"), "mentions")
 
 
 # -- L5 evidence span -------------------------------------------------------------------
 
-SENTENCE_SPLIT = r"[.!?\n]+"
-MAX_EVIDENCE_WORDS = 20
-
-
-def evidence_span(text: Column, phrases: Column) -> Column:
-    """First sentence of ``text`` containing one of ``phrases`` (array<string>),
-    cut to its first 20 words; the fixed no-evidence phrase when none does."""
-    sentences = F.filter(F.transform(F.split(text, SENTENCE_SPLIT), lambda s: F.trim(s)), lambda s: s != "")
-    hit = F.filter(sentences, lambda s: F.exists(phrases, lambda p: s.contains(p)))
-    first = F.try_element_at(hit, F.lit(1))
-    words = F.slice(F.split(first, " "), 1, MAX_EVIDENCE_WORDS)
+def evidence_span(found: Column, aspect: Column) -> Column:
+    """First sentence of ``found`` (``mentions``) that mentions the aspect, cut to its first 20 words;
+    the fixed no-evidence phrase when none does."""
+    hit = F.filter(found, lambda m: F.array_contains(m.getField("tags"), aspect))
+    words = F.slice(F.split(F.try_element_at(hit, F.lit(1)).getField("sentence"), " "), 1, MAX_EVIDENCE_WORDS)
     return F.coalesce(F.when(F.size(hit) > 0, F.array_join(words, " ")), F.lit(labels.NO_ASPECT_PHRASE))
 
 
-def aspect_evidence(tags: DataFrame, text_col: str = "text_clean",
-                    lexicon: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per (comment, found aspect) with its evidence span."""
-    lex = lexicon or default_lexicon()
-    phrase_map = F.create_map(*[x for a, ph in lex.items() for x in (F.lit(a), F.array(*[F.lit(p) for p in ph]))])
-    rows = tags.select("comment_id", "video_id", text_col, F.posexplode("aspect_names").alias("pos", "aspect"))
+def aspect_evidence(tags: DataFrame) -> DataFrame:
+    """One row per (comment, found aspect) of ``lexicon_tags`` with its evidence span."""
+    rows = tags.select("comment_id", "video_id", "mentions", F.posexplode("aspect_names").alias("pos", "aspect"))
     return rows.select("comment_id", "video_id", "pos", "aspect",
-                       evidence_span(F.col(text_col), F.element_at(phrase_map, F.col("aspect"))).alias("evidence"))
+                       evidence_span(F.col("mentions"), F.col("aspect")).alias("evidence"))
 
 
 # -- L7 request tables ------------------------------------------------------------------
@@ -427,12 +493,10 @@ def lexicon_insight_rows(pending: DataFrame, model_name: str = "lexicon",
     span; one projection, no shuffle.
     """
     from murmur import schemas
-    lex = lexicon or default_lexicon()
-    tags = lexicon_tags(pending, "text_clean", lex)
-    phrase_map = F.create_map(*[x for a, ph in lex.items() for x in (F.lit(a), F.array(*[F.lit(p) for p in ph]))])
+    tags = lexicon_tags(pending, "text_clean", lexicon)
     aspects = F.transform("aspect_names", lambda a: F.struct(
         a.alias("aspect"), F.col("general_sentiment").alias("sentiment"),
-        evidence_span(F.col("text_clean"), F.element_at(phrase_map, a)).alias("evidence")))
+        evidence_span(F.col("mentions"), a).alias("evidence")))
     rows = tags.select(
         "comment_id", "video_id", "channel_id", F.lit(model_name).alias("model_name"),
         "general_sentiment", "topic", aspects.alias("aspects"), "purchase_intent", "is_question",

@@ -30,10 +30,10 @@ def pending_curation(raw: DataFrame, curated: DataFrame, limit: int | None = Non
     return new
 
 
-def curate(raw: DataFrame, language_model: DataFrame | None = None) -> DataFrame:
+def curate(raw: DataFrame, language_model: langid.Model | None = None) -> DataFrame:
     """Curated rows with the fixed ``core.comments_curated`` schema.
 
-    ``language_model`` is a fitted ``murmur.operators.langid`` profile; without
+    ``language_model`` is a fitted ``murmur.operators.langid`` model; without
     one the language is left NULL (and ``is_turkish`` false).
     """
     text = clean_text(F.col("text_original"))
@@ -54,14 +54,19 @@ def curate(raw: DataFrame, language_model: DataFrame | None = None) -> DataFrame
     ).select(*[F.col(f.name).cast(f.dataType) for f in schemas.CURATED_COMMENTS.fields])
 
 
-def curate_dedup(raw: DataFrame, curated: DataFrame, language_model: DataFrame | None = None) -> DataFrame:
-    """Pending rows reduced to the newest observation per ``comment_id``, then curated."""
-    newest = latest_per_key(raw.where(F.col("comment_id").isNotNull()), ["comment_id"],
-                            newest_first(raw, "ingested_at", ["updated_at", "like_count", "text_original"]))
+def curate_dedup(raw: DataFrame, curated: DataFrame, language_model: langid.Model | None = None) -> DataFrame:
+    """Pending rows reduced to the newest observation per ``comment_id``, then curated.
+
+    Rows without an id are no observations of one comment: they all stay (and come back in every
+    run, as the anti-join never finds them done)."""
+    order = newest_first(raw, "ingested_at", ["updated_at", "like_count", "text_original"])
+    alone = F.when(F.col("comment_id").isNull(), F.monotonically_increasing_id())      # a key of its own
+    newest = latest_per_key(raw.withColumn("_alone", alone), ["comment_id", "_alone"], order).drop("_alone")
     return curate(pending_curation(newest, curated), language_model)
 
 
-def language_model(examples: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Fit the trigram profile on raw labelled text, cleaned exactly as curation does."""
+def language_model(examples: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                   max_grams: int = langid.MAX_GRAMS) -> langid.Model:
+    """Fit the language model on raw labelled text, cleaned exactly as curation does."""
     cleaned = examples.select(clean_text(F.col(text_col)).alias("text_clean"), F.col(lang_col).alias("lang"))
-    return langid.fit(cleaned)
+    return langid.fit(cleaned, max_grams=max_grams)

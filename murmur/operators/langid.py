@@ -1,105 +1,152 @@
-"""Language identification as two Spark jobs: fit a character-trigram profile,
-then score rows with it.
-
-Model (a rank-weighted trigram profile in the spirit of Cavnar & Trenkle,
-"N-Gram-Based Text Categorization", 1994):
-
-* fit: explode the padded character trigrams of labelled, cleaned text ->
-  ``groupBy(lang, gram).count`` (map-side partial aggregation keeps the
-  shuffle at most languages x distinct grams per task) -> keep the
-  ``profile_size`` most frequent grams per language (``row_number <= K``
-  becomes a partial WindowGroupLimit before the shuffle) -> weight
-  ``K + 1 - rank``.  The model holds at most ``K x languages`` rows whatever
-  the amount of training text, which is what makes it safe to broadcast.
-* predict: explode trigrams -> broadcast hash join with the model (bounded
-  size) -> partial-aggregated weight sums per (row key, language) -> arg-max
-  (ties -> smaller language code) -> left join back to the rows.  Only the
-  per-row sums are shuffled before the join back; when the language is not
-  selected downstream, Catalyst drops the join and the model altogether.
-
-Integer weights keep the result exact, so a SQL oracle can repeat it.
+"""Language identification: smoothed log-probabilities over character 1-3-grams.
+
+* fit: the grams of labelled, cleaned text are counted batch by batch and summed per (language,
+  gram); ``floor(1000 * ln((n + ALPHA) / (N + ALPHA * V)))`` is the weight of a gram in a language,
+  with n its count there, N all grams of that length there and V the distinct ones of that length.
+  The model holds the ``max_grams`` most frequent grams and at most ``MAX_LANGUAGES`` languages
+  whatever the amount of training text; that is what makes it safe to broadcast.
+* predict: an Arrow-batched column function looks every gram of a text up and sums the weights; the
+  largest sum wins (ties -> smaller language code).  Rows are scored where they lie: no join, no
+  shuffle, and Catalyst drops the function when the language is not selected.
+
+Grams are those of ' ' + text + ' ' (code points).  Texts of fewer than ``MIN_CHARS`` code points and
+texts without any known gram are 'unknown'.  Weights are integers, so the sums are exact and a
+SQL oracle can repeat them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.session import ship_package
+from murmur.sources.storage import stage
+
 UNKNOWN = "unknown"
 MIN_CHARS = 5          # shorter texts are 'unknown' (code points)
-GRAM = 3
-PROFILE_SIZE = 400
-
-
-def gram_pattern(n: int = GRAM) -> str:
-    """Regex whose group 1 is the n code points starting at each code point.
-
-    Every match consumes exactly one code point, so the scan always restarts
-    on a code-point boundary (a zero-width pattern would step into UTF-16
-    surrogate pairs); group 1 is a look-ahead, so grams overlap.
-    """
-    return "(?s)(?=(.{%d}))." % n
-
-
-def char_grams(text: Column, n: int = GRAM) -> Column:
-    """All character n-grams of ' ' + text + ' ' (code points), in order; one native call."""
-    padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
-    return F.regexp_extract_all(padded, F.lit(gram_pattern(n)), F.lit(1))
-
-
-def explode_grams(df: DataFrame, text_col: str, keep: list[str], n: int = GRAM) -> DataFrame:
-    """(keep..., gram) for every character n-gram of ``text_col``; linear in text length."""
-    return df.select(*keep, F.explode(char_grams(F.col(text_col), n)).alias("gram"))
-
-
-def fit(examples: DataFrame, text_col: str = "text_clean", lang_col: str = "lang",
-        profile_size: int = PROFILE_SIZE) -> DataFrame:
-    """(lang, gram, weight) for the top ``profile_size`` trigrams of each language."""
-    labelled = examples.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text_col)
-    counts = explode_grams(labelled, text_col, ["lang"]).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.col("gram").asc())
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= profile_size)
-            .select("lang", "gram", (F.lit(profile_size + 1) - F.col("rank")).cast("bigint").alias("weight")))
-
-
-def scores(df: DataFrame, text_col: str, model: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., _best_lang, _top_score) of the best language per row key.
-
-    Trigrams are exploded and joined with the model; Spark broadcasts it only
-    where its measured size is below the threshold.  Partial aggregation sums the
-    weights per (key, language) inside each task, so only a few rows per
-    comment reach the shuffle.  Ties go to the smaller language code.
-    """
-    grams = explode_grams(df, text_col, keys)
-    per_lang = (grams.join(model.select("gram", "lang", "weight"), "gram")
-                .groupBy(*keys, "lang").agg(F.sum("weight").alias("score")))
-    best = per_lang.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("lang"))).alias("b"))
-    return best.select(*keys, F.col("b.lang").alias("_best_lang"), (-F.col("b.neg")).alias("_top_score"))
-
-
-def predict(df: DataFrame, text_col: str, model: DataFrame, out_col: str = "language",
-            keys: list[str] | None = None) -> DataFrame:
-    """``df`` plus ``out_col``: the predicted language of ``text_col``.
-
-    The prediction is joined back on ``keys`` (NULL as empty, so rows without an
-    id get their language too) plus a 64-bit hash of the text (so duplicate ids
-    with different texts stay apart).  Rows that share all of these have one text;
-    their weights add up, which changes no arg-max.  The right side is
-    grouped on exactly the join keys, so when ``out_col`` is not used later
-    Catalyst removes the whole model and scoring from the plan.
-    """
-    keys = list(keys or ["comment_id"])
-    th = "_text_hash"
-    by = {f"_key_{k}": F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys}
-    hashed = df.withColumns({**by, th: F.xxhash64(F.col(text_col))})
-    best = scores(hashed.select(*by, th, text_col), text_col, model, [*by, th])
-    out = hashed.join(best, [*by, th], "left")
-    text = F.col(text_col)
-    lang = (F.when(F.coalesce(F.char_length(text), F.lit(0)) < MIN_CHARS, F.lit(UNKNOWN))
-            .when(F.col("_best_lang").isNull() | (F.col("_top_score") <= 0), F.lit(UNKNOWN))
-            .otherwise(F.col("_best_lang")))
-    return out.withColumn(out_col, lang).drop(*by, th, "_best_lang", "_top_score")
+SIZES = (1, 2, 3)
+ALPHA = 0.5
+MAX_GRAMS = 200_000
+MAX_LANGUAGES = 500
+_PIECE = 1 << 18       # code points that are looked up at once; longer texts go on in the next piece
+
+
+@dataclass(frozen=True)
+class Model:
+    languages: tuple[str, ...]      # sorted
+    codes: np.ndarray               # sorted codes of the known grams
+    weights: np.ndarray             # (grams, languages) integers
+
+    def best(self, texts: list[str | None]) -> list[str]:
+        """The language of every text."""
+        sums = np.zeros((len(texts), len(self.languages)))
+        hits = np.zeros(len(texts), bool)
+        if len(self.codes):
+            for own, codes in _grams(texts, SIZES):
+                at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+                known = self.codes[at] == codes
+                own, at = own[known], at[known]
+                hits[own] = True
+                for k in range(len(self.languages)):
+                    sums[:, k] += np.bincount(own, self.weights[at, k], len(texts))
+        top = sums.argmax(axis=1) if len(self.languages) else np.zeros(len(texts), int)
+        return [self.languages[k] if h and len(t) >= MIN_CHARS else UNKNOWN
+                for t, h, k in zip((t or "" for t in texts), hits, top)]
+
+    def detect(self, text: Column) -> Column:
+        """The language of a text column."""
+        from pyspark.sql import SparkSession
+        spark = SparkSession.active()
+        ship_package(spark)
+        shared = spark.sparkContext.broadcast(self)
+
+        @F.pandas_udf("string")
+        def language(s: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.best([None if pd.isna(t) else t for t in s]), index=s.index, dtype=object)
+
+        return language(text)
+
+
+def _grams(texts: list[str | None], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, code) of every gram, in bounded portions; a code holds 21 bits a character,
+    each counted from 1, so that grams of different lengths differ."""
+    def codes(pieces: list[tuple[int, str, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lengths = np.array([len(p) for _, p, _ in pieces])
+        cp = np.frombuffer("".join(p for _, p, _ in pieces).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64) + 1
+        own = np.repeat(np.array([i for i, _, _ in pieces]), lengths)
+        place = np.arange(len(cp)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        starts, left = np.repeat(np.array([n for _, _, n in pieces]), lengths), np.repeat(lengths, lengths) - place
+        for k in sizes:
+            at = np.flatnonzero((place < starts) & (left >= k))
+            code = cp[at]
+            for j in range(1, k):
+                code = code | cp[at + j] << (21 * j)
+            yield own[at], code
+
+    held: list[tuple[int, str, int]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        padded = f" {t or ''} "
+        for lo in range(0, len(padded), _PIECE):
+            piece = padded[lo:lo + _PIECE + max(sizes) - 1]
+            held.append((i, piece, min(_PIECE, len(padded) - lo)))
+            size += len(piece)
+            if size >= _PIECE:
+                yield from codes(held)
+                held, size = [], 0
+    if held:
+        yield from codes(held)
+
+
+def _length(code: np.ndarray) -> np.ndarray:
+    return 1 + (code >> 21 > 0) + (code >> 42 > 0)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for lang in sorted(set(langs)):
+            for _, codes in _grams([t for t, x in zip(texts, langs) if x == lang], SIZES):
+                found, n = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found), pa.array(n)], ["lang", "code", "n"])
+
+
+def fit(examples: DataFrame, text_col: str = "text_clean", lang_col: str = "lang", max_grams: int = MAX_GRAMS) -> Model:
+    """The model of labelled, cleaned text; rows without label train nothing."""
+    ship_package(examples.sparkSession)
+    labelled = examples.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string"))
+    counts = stage(labelled.mapInArrow(_counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")),
+                   examples.sparkSession, "language-grams")
+    size = 1 + (F.shiftright("code", 21) > 0).cast("int") + (F.shiftright("code", 42) > 0).cast("int")
+    totals = {(r["lang"], r["size"]): r["n"] for r in
+              counts.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES * len(SIZES) + 1).collect()}
+    languages = sorted({lang for lang, _ in totals})
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"the label column holds more than {MAX_LANGUAGES} languages")
+    grams = counts.groupBy("code").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    distinct = {r["size"]: r["n"] for r in grams.groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect()}
+    top = (grams.orderBy(F.desc("total"), "code").limit(max_grams)
+           .select("code", F.inline("by")).toArrow())
+    codes, row = np.unique(np.asarray(top["code"], np.int64), return_inverse=True)
+    n = np.zeros((len(codes), len(languages)))
+    number = {lang: k for k, lang in enumerate(languages)}
+    n[row, np.array([number[x] for x in top["lang"].to_pylist()], int)] = np.asarray(top["n"], float)
+    sizes = _length(codes)
+    of_all = np.array([[totals.get((lang, k), 0) for lang in languages] for k in (0, *SIZES)], float).reshape(len(SIZES) + 1, len(languages))
+    seen = np.array([distinct.get(k, 0) for k in (0, *SIZES)], float)
+    weights = np.floor(1000 * np.log((n + ALPHA) / (of_all[sizes] + ALPHA * seen[sizes][:, None])))
+    return Model(tuple(languages), codes, weights)
+
+
+def predict(df: DataFrame, text_col: str, model: Model, out_col: str = "language") -> DataFrame:
+    """``df`` plus ``out_col``, the language of ``text_col``; all rows stay, also those without an id."""
+    return df.withColumn(out_col, model.detect(F.col(text_col)))
 
 
 def accuracy(pred: DataFrame, truth_col: str = "lang", pred_col: str = "language") -> DataFrame:

@@ -131,7 +131,7 @@ CURATED_OUT = ["comment_id", "video_id", "channel_id", "text_clean", "language",
                "parent_id", "author_channel_id", "like_count", "comment_len_chars", "comment_len_tokens"]
 
 
-def _lang_model(spark: SparkSession, d: str) -> DataFrame:
+def _lang_model(spark: SparkSession, d: str) -> langid.Model:
     return curate.language_model(fx.language_training(spark, d))
 
 
@@ -155,9 +155,8 @@ def q_curate_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query("language_id")
 def q_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = fx.documents(spark, d).select(
-        "doc_id", "lang", clean_text(F.col("text")).alias("text_clean"))
-    return langid.predict(docs, "text_clean", _lang_model(spark, d), keys=["doc_id"]).select(
-        "doc_id", "lang", "language")
+        "doc_id", "lang", fx.held_out(F.col("doc_id")).alias("held_out"), clean_text(F.col("text")).alias("text_clean"))
+    return langid.predict(docs, "text_clean", _lang_model(spark, d)).select("doc_id", "lang", "held_out", "language")
 
 
 # -- payload ingest -----------------------------------------------------------------
@@ -167,8 +166,12 @@ INGEST_TS = "2024-06-01 00:00:00"
 
 @query("thread_flatten")
 def q_thread_flatten(spark: SparkSession, d: str) -> DataFrame:
-    pages = payloads.parse_pages(fx.thread_pages(spark, d))
-    return payloads.flatten_threads(pages, F.lit(INGEST_TS).cast("timestamp")).drop("raw_payload")
+    return payloads.flatten_threads(fx.thread_pages(spark, d), F.lit(INGEST_TS).cast("timestamp"))
+
+
+@query("thread_rejects")
+def q_thread_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return payloads.thread_rejects(fx.faulty_thread_pages(spark, d))
 
 
 @query("video_stats_parse")
@@ -213,13 +216,13 @@ def q_normalize_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query("lexicon_tags")
 def q_lexicon_tags(spark: SparkSession, d: str) -> DataFrame:
-    tags = annotate.lexicon_tags(fx.curated(spark, d))
-    return tags.withColumn("aspect_names", F.array_join("aspect_names", ","))
+    tags = annotate.lexicon_tags(fx.all_curated(spark, d))
+    return tags.withColumn("aspect_names", F.array_join("aspect_names", ",")).drop("mentions")
 
 
 @query("aspect_evidence")
 def q_aspect_evidence(spark: SparkSession, d: str) -> DataFrame:
-    return annotate.aspect_evidence(annotate.lexicon_tags(fx.curated(spark, d)))
+    return annotate.aspect_evidence(annotate.lexicon_tags(fx.all_curated(spark, d)))
 
 
 @query("tagging_requests")
@@ -231,7 +234,7 @@ def q_tagging_requests(spark: SparkSession, d: str) -> DataFrame:
 @query("aspect_requests")
 def q_aspect_requests(spark: SparkSession, d: str) -> DataFrame:
     items = annotate.aspect_work_items(fx.tagging_replies(spark, d))
-    req = annotate.aspect_requests(items, fx.curated(spark, d))
+    req = annotate.aspect_requests(items, fx.all_curated(spark, d))
     return annotate.messages_rows(req, "comment_id", "video_id", "run_seq", "pos", "aspect_name")
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 from murmur.functions.ontology import ASPECTS, SENTIMENTS, TOPICS, sql_list
-from murmur.operators.langid import GRAM, MIN_CHARS, PROFILE_SIZE
+from murmur.operators.langid import ALPHA, MIN_CHARS, SIZES
 
 
 def _lst(values) -> str:
@@ -95,6 +95,7 @@ SELECT comment_id, video_id, channel_id, text_clean,
        CAST(CASE WHEN text_clean = '' THEN 0 ELSE len(string_split(text_clean, ' ')) END AS BIGINT)
          AS comment_len_tokens
 FROM (SELECT *, {clean_sql('text_original')} AS text_clean FROM raw_comments WHERE like_count % 9 <> 0)"""
+CTES["all_curated"] = CTES["curated"].replace(" WHERE like_count % 9 <> 0", "")
 
 CTES["long_comments"] = """
 SELECT 'ch' || source AS channel_id, source AS video_id,
@@ -103,26 +104,40 @@ SELECT 'ch' || source AS channel_id, source AS video_id,
        text AS text_original, CAST(doc_id % 50 AS BIGINT) AS like_count, lang
 FROM documents"""
 
+def _code_points(p: str) -> str:
+    return f"regexp_extract_all({p}, '(?s).', 0)"
+
+
 def _grams_sql(c: str) -> str:
-    """Character n-grams from a code-point list column (linear; substring-by-position is not)."""
-    parts = " || ".join(f"{c}[i + {j}]" for j in range(GRAM))
-    return f"list_transform(range(1, len({c}) - {GRAM - 2}), lambda i: {parts})"
+    """Character 1-3-grams from a code-point list column (linear; substring-by-position is not)."""
+    def of_size(k: int) -> str:
+        gram = " || ".join(f"{c}[i + {j}]" for j in range(k))
+        return f"list_transform(range(1, len({c}) - {k - 2}), lambda i: {gram})"
+    return "list_concat(" + ", ".join(of_size(k) for k in SIZES) + ")"
 
 
-def _code_points(p: str) -> str:
-    return f"regexp_extract_all({p}, '(?s).', 0)"
+def crc32_sql(text: str) -> str:
+    """crc32 of ASCII text: one table-less step of eight shifts per byte."""
+    step = "lambda x, z: xor(x >> 1, 3988292384 * (x & 1))"
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], [ascii(ch)::BIGINT FOR ch IN string_split({text}, '')]), "
+            f"lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})))")
+
 
+HELD_OUT = f"{crc32_sql('CAST(doc_id AS VARCHAR)')} % 5 = 0"
 
-# language-id model: top-K character trigrams per language, weight K + 1 - rank
+# language-id model: floor(1000 * ln p) of character 1-3-grams per language, add-a-half smoothing
+CTES["lang_counts"] = f"""
+SELECT lang, gram, length(gram) AS size, count(*) AS n
+FROM (SELECT lang, unnest({_grams_sql('c')}) AS gram
+      FROM (SELECT lang, {_code_points("' ' || " + clean_sql('text') + " || ' '")} AS c
+            FROM documents WHERE lang IS NOT NULL AND NOT {HELD_OUT}))
+GROUP BY lang, gram"""
 CTES["lang_model"] = f"""
-SELECT lang, gram, CAST({PROFILE_SIZE + 1} - rn AS BIGINT) AS weight
-FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram ASC) AS rn
-      FROM (SELECT lang, gram, count(*) AS n
-            FROM (SELECT lang, unnest({_grams_sql('c')}) AS gram
-                  FROM (SELECT lang, {_code_points("' ' || " + clean_sql('text') + " || ' '")} AS c
-                        FROM documents WHERE lang IS NOT NULL))
-            GROUP BY lang, gram))
-WHERE rn <= {PROFILE_SIZE}"""
+SELECT t.lang, g.gram, CAST(floor(1000 * ln((coalesce(c.n, 0) + {ALPHA}) / (t.total + {ALPHA} * v.seen))) AS BIGINT) AS weight
+FROM (SELECT DISTINCT gram, size FROM lang_counts) g
+JOIN (SELECT size, count(DISTINCT gram) AS seen FROM lang_counts GROUP BY size) v ON g.size = v.size
+JOIN (SELECT lang, size, sum(n)::DOUBLE AS total FROM lang_counts GROUP BY lang, size) t ON g.size = t.size
+LEFT JOIN lang_counts c ON c.lang = t.lang AND c.gram = g.gram"""
 
 
 def lang_predict_cte(source: str, key: str, text: str) -> str:
@@ -133,9 +148,11 @@ SELECT s.{key} AS key, CASE WHEN length(s.{text}) < {MIN_CHARS} OR b.lang IS NUL
 FROM {source} s LEFT JOIN (
   SELECT key, lang FROM (
     SELECT key, lang, row_number() OVER (PARTITION BY key ORDER BY score DESC, lang ASC) AS rn
-    FROM (SELECT g.key, m.lang, sum(m.weight) AS score
-          FROM (SELECT key, unnest({_grams_sql('c')}) AS gram
-                FROM (SELECT {key} AS key, {_code_points("' ' || " + text + " || ' '")} AS c FROM {source})) g
+    FROM (SELECT g.key, m.lang, sum(g.n * m.weight) AS score
+          FROM (SELECT key, gram, count(*) AS n
+                FROM (SELECT key, unnest({_grams_sql('c')}) AS gram
+                      FROM (SELECT {key} AS key, {_code_points("' ' || " + text + " || ' '")} AS c FROM {source}))
+                GROUP BY key, gram) g
           JOIN lang_model m ON g.gram = m.gram
           GROUP BY ALL))
   WHERE rn = 1) b ON s.{key} = b.key"""
@@ -364,7 +381,7 @@ def tokens_sql(t: str) -> str:
 
 CTES["lc_clean"] = f"SELECT *, {clean_sql('text_original')} AS text_clean FROM long_comments"
 CTES["lc_lang"] = lang_predict_cte("lc_clean", "comment_id", "text_clean")
-CTES["doc_clean"] = f"SELECT doc_id, lang, {clean_sql('text')} AS text_clean FROM documents"
+CTES["doc_clean"] = f"SELECT doc_id, lang, {HELD_OUT} AS held_out, {clean_sql('text')} AS text_clean FROM documents"
 CTES["doc_lang"] = lang_predict_cte("doc_clean", "doc_id", "text_clean")
 CTES["pending_raw"] = """
 SELECT r.* FROM raw_comments r ANTI JOIN curated c ON r.comment_id = c.comment_id"""
@@ -373,7 +390,8 @@ SELECT *, {clean_sql('text_original')} AS text_clean FROM (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY ingested_at DESC NULLS LAST,
              updated_at DESC NULLS LAST, like_count DESC NULLS LAST, text_original DESC NULLS LAST) AS rn
-    FROM raw_comments WHERE comment_id IS NOT NULL) WHERE rn = 1) n
+    FROM raw_comments WHERE comment_id IS NOT NULL) WHERE rn = 1
+  UNION ALL SELECT * FROM raw_comments WHERE comment_id IS NULL) n
 ANTI JOIN curated c ON n.comment_id = c.comment_id"""
 CTES["dedup_lang"] = lang_predict_cte("dedup_clean", "comment_id", "text_clean")
 
@@ -392,7 +410,7 @@ SELECT comment_id, video_id, channel_id, text_original, parent_id, author_channe
 FROM pending_raw""")
 register("curate_comments", _curated_out("lc_clean", "lc_lang"))
 register("curate_dedup", _curated_out("dedup_clean", "dedup_lang"))
-register("language_id", "SELECT d.doc_id, d.lang, g.language FROM doc_clean d JOIN doc_lang g ON d.doc_id = g.key")
+register("language_id", "SELECT d.doc_id, d.lang, d.held_out, g.language FROM doc_clean d JOIN doc_lang g ON d.doc_id = g.key")
 
 register("pending_inference", """
 SELECT c.comment_id, c.video_id, c.channel_id, c.text_clean FROM curated c
@@ -408,8 +426,33 @@ def lenient_sql(x: str) -> str:
             f"THEN CAST(replace({t}, '_', '') AS BIGINT) ELSE 0 END")
 
 
-register("thread_flatten", """
-SELECT * EXCLUDE (ingested_at), TIMESTAMP '2024-06-01 00:00:00' AS ingested_at FROM raw_comments""")
+def _json_member(name: str, value: str) -> str:
+    """'"name":value,' or nothing where the value is NULL."""
+    return f"coalesce('\"{name}\":' || CAST(to_json({value}) AS VARCHAR) || ',', '')"
+
+
+# the payload text of every comment and, for a thread's first one, of the whole thread
+CTES["payloads"] = f"""
+SELECT *, '{{"kind":"comment",' || {_json_member('id', 'comment_id')} || '"snippet":{{"authorChannelId":{{'
+       || rtrim({_json_member('value', 'author_channel_id')}, ',') || '}},'
+       || {_json_member('authorDisplayName', 'author_display_name')} || {_json_member('textOriginal', 'text_original')}
+       || {_json_member('textDisplay', 'text_display')} || '"likeCount":' || CAST(like_count AS VARCHAR)
+       || ',"publishedAt":"' || strftime(published_at, '%Y-%m-%dT%H:%M:%SZ')
+       || '","updatedAt":"' || strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ') || '"}}}}' AS comment_json
+FROM raw_comments"""
+
+register("thread_flatten", f"""
+SELECT p.* EXCLUDE (ingested_at, comment_json), TIMESTAMP '2024-06-01 00:00:00' AS ingested_at,
+       CASE WHEN p.is_top_level
+            THEN '{{"etag":"e' || substring(p.comment_id, 2, length(p.comment_id) - 3) || '","snippet":{{'
+                 || {_json_member('channelId', 'p.channel_id')} || {_json_member('channelTitle', 'p.channel_title')}
+                 || {_json_member('videoId', 'p.video_id')} || {_json_member('videoTitle', 'p.video_title')}
+                 || '"topLevelComment":' || p.comment_json || '}},"replies":{{"comments":['
+                 || coalesce(r.replies, '') || ']}}}}'
+            ELSE p.comment_json END AS raw_payload
+FROM payloads p LEFT JOIN (
+  SELECT parent_id, string_agg(comment_json, ',' ORDER BY published_at) AS replies
+  FROM payloads WHERE NOT is_top_level GROUP BY parent_id) r ON p.is_top_level AND p.comment_id = r.parent_id""")
 
 CTES["video_items"] = None  # filled below (needs the fixture's item template)
 
@@ -471,7 +514,14 @@ def norm_sentiment(x: str) -> str:
 
 
 def _register_replies() -> None:
-    from murmur.sources.fixtures import ALIAS_WORDS, aspect_reply_sql, tagging_reply_sql, video_item_sql
+    from murmur.sources.fixtures import (ALIAS_WORDS, aspect_reply_sql, bad_reply_sql, bad_thread_sql, faulty_page_sql,
+                                         tagging_reply_sql, video_item_sql)
+    page = faulty_page_sql("VARCHAR")
+    i = "CAST(conv_id AS VARCHAR)"
+    register("thread_rejects", f"""
+SELECT CASE conv_id % 17 WHEN 5 THEN 'thread' WHEN 7 THEN 'reply' ELSE 'page' END AS reason,
+       CASE conv_id % 17 WHEN 5 THEN '{bad_thread_sql(i)}' WHEN 7 THEN '{bad_reply_sql(i)}' ELSE {page} END AS payload
+FROM conversations WHERE turn = 0 AND conv_id % 17 IN (3, 5, 7, 9)""")
     CTES["video_items"] = f"SELECT {video_item_sql('duck')} AS item FROM orders"
     CTES["tag_base"] = f"""
 SELECT 'c' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) AS comment_id,
@@ -581,43 +631,46 @@ _register_replies()
 def _register_text_jobs() -> None:
     from murmur.operators import annotate as an
     lex = an.default_lexicon()
+    tags = an.stem_tags()
     t = "text_clean"
-    found = "list_filter([" + ", ".join(
-        f"CASE WHEN regexp_matches({t}, '{an._phrase_regex(ph)}') THEN '{a}' END" for a, ph in lex.items()
-    ) + "], lambda x: x IS NOT NULL)"
+    pattern = an.stem_pattern(list(tags))
+    of_stem = "MAP {" + ", ".join(f"'{stem}': [" + ", ".join(f"'{x}'" for x in names) + "]" for stem, names in tags.items()) + "}"
+    # one row per sentence: the stems in it, looked up
+    CTES["lex_sentences"] = f"""
+SELECT comment_id, video_id, n, sentence,
+       list_concat(flatten([{of_stem}[regexp_replace(regexp_replace(x, ' +', ' ', 'g'), '/+', '/', 'g')]
+                            FOR x IN regexp_extract_all(wide, '{pattern}', 1)]),
+                   CASE WHEN regexp_matches(wide, '{an.COMPARED_PATTERN}') THEN ['comparison'] ELSE [] END) AS tags
+FROM (SELECT *, regexp_replace(' ' || sentence || ' ', '({an.EDGE})', '\\1\\1', 'g') AS wide
+      FROM (SELECT comment_id, video_id, unnest(range(1, len(s) + 1)) AS n, unnest(s) AS sentence
+            FROM (SELECT comment_id, video_id,
+                         list_filter(list_transform(regexp_split_to_array({t}, '[.!?\\n]+'), lambda s: trim(s)), lambda s: s <> '') AS s
+                  FROM all_curated)))"""
+    CTES["lex_found"] = "SELECT DISTINCT comment_id, video_id, unnest(tags) AS tag FROM lex_sentences"
+    found = "list_filter([" + ", ".join(f"CASE WHEN list_contains(tags, '{a}') THEN '{a}' END" for a in lex) + "], lambda x: x IS NOT NULL)"
     topic = "CASE" + "".join(f" WHEN list_contains(found, '{a}') THEN '{tp}'" for a, tp in an.ASPECT_TOPIC) + \
         " WHEN len(found) > 0 THEN 'product_review' ELSE 'offtopic' END"
-    CTES["lex_base"] = f"""
-SELECT comment_id, video_id, channel_id, {t}, {found} AS found,
-       len(regexp_extract_all({t}, '{an._phrase_regex(an.POSITIVE_WORDS)}')) AS npos,
-       len(regexp_extract_all({t}, '{an._phrase_regex(an.NEGATIVE_WORDS)}')) AS nneg,
-       regexp_matches({t}, '{an._phrase_regex(an.PURCHASE_PHRASES)}') AS purchase_intent,
-       contains({t}, '?') AS is_question
-FROM curated"""
     CTES["lex_tags"] = f"""
 SELECT comment_id, video_id, channel_id, {t},
-       CASE WHEN npos > 0 AND nneg > 0 THEN 'mixed' WHEN npos > 0 THEN 'positive'
-            WHEN nneg > 0 THEN 'negative' ELSE 'neutral' END AS general_sentiment,
-       {topic} AS topic, found, purchase_intent, is_question,
+       CASE WHEN list_contains(tags, '+') AND list_contains(tags, '-') THEN 'mixed' WHEN list_contains(tags, '+') THEN 'positive'
+            WHEN list_contains(tags, '-') THEN 'negative' ELSE 'neutral' END AS general_sentiment,
+       {topic} AS topic, found, list_contains(tags, 'buy') AS purchase_intent, contains({t}, '?') AS is_question,
        list_contains(found, 'comparison') AS competitor_mention
-FROM lex_base"""
+FROM (SELECT *, {found} AS found
+      FROM (SELECT c.*, coalesce(g.tags, []) AS tags
+            FROM all_curated c LEFT JOIN (SELECT comment_id, video_id, list(tag) AS tags FROM lex_found GROUP BY ALL) g
+              ON c.comment_id = g.comment_id AND c.video_id = g.video_id))"""
     register("lexicon_tags", """
 SELECT comment_id, video_id, channel_id, text_clean, general_sentiment, topic,
        array_to_string(found, ',') AS aspect_names, purchase_intent, is_question, competitor_mention
 FROM lex_tags""")
 
-    phrase_case = "CASE aspect" + "".join(
-        f" WHEN '{a}' THEN [" + ", ".join(f"'{p}'" for p in ph) + "]" for a, ph in lex.items()) + " END"
     register("aspect_evidence", f"""
-SELECT comment_id, video_id, CAST(pos AS INTEGER) AS pos, aspect,
-       CASE WHEN len(hit) > 0 THEN array_to_string(string_split(hit[1], ' ')[1:{an.MAX_EVIDENCE_WORDS}], ' ')
-            ELSE '{an.labels.NO_ASPECT_PHRASE}' END AS evidence
-FROM (SELECT *, list_filter(sents, lambda s: len(list_filter(phrases, lambda p: strpos(s, p) > 0)) > 0) AS hit
-      FROM (SELECT comment_id, video_id, pos - 1 AS pos, aspect, {phrase_case} AS phrases,
-                   list_filter(list_transform(regexp_split_to_array(text_clean, '[.!?\\n]+'), lambda s: trim(s)),
-                               lambda s: s <> '') AS sents
-            FROM (SELECT comment_id, video_id, text_clean, unnest(range(1, len(found) + 1)) AS pos,
-                         unnest(found) AS aspect FROM lex_tags)))""")
+SELECT f.comment_id, f.video_id, CAST(f.pos AS INTEGER) AS pos, f.aspect,
+       array_to_string(string_split(arg_min(s.sentence, s.n), ' ')[1:{an.MAX_EVIDENCE_WORDS}], ' ') AS evidence
+FROM (SELECT comment_id, video_id, unnest(range(0, len(found))) AS pos, unnest(found) AS aspect FROM lex_tags) f
+JOIN lex_sentences s ON s.comment_id = f.comment_id AND s.video_id = f.video_id AND list_contains(s.tags, f.aspect)
+GROUP BY f.comment_id, f.video_id, f.pos, f.aspect""")
 
     def q(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
@@ -634,7 +687,7 @@ SELECT comment_id, video_id, channel_id, CAST(1 AS INTEGER), 'user', {q(an.JSON_
 
     CTES["asp_req"] = """
 SELECT w.comment_id, w.video_id, w.run_seq, CAST(w.pos AS INTEGER) AS pos, w.aspect_name, c.text_clean
-FROM work_items w JOIN curated c ON w.comment_id = c.comment_id AND w.video_id = c.video_id"""
+FROM work_items w JOIN all_curated c ON w.comment_id = c.comment_id AND w.video_id = c.video_id"""
     register("aspect_requests", f"""
 SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(0 AS INTEGER) AS turn, 'system' AS role,
        {q(an.ASPECT_SYSTEM)} AS content FROM asp_req

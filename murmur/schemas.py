@@ -58,30 +58,13 @@ TABLES = {
     "ml.comment_insights": COMMENT_INSIGHTS,
 }
 
-# Payload shapes of the comment-thread API and the video-statistics API.
-_COMMENT_SNIPPET = T.StructType([
-    T.StructField("authorChannelId", T.StructType([T.StructField("value", S)])),
-    T.StructField("authorDisplayName", S),
-    T.StructField("textOriginal", S),
-    T.StructField("textDisplay", S),
-    T.StructField("likeCount", L),
-    T.StructField("publishedAt", S),
-    T.StructField("updatedAt", S),
-])
-_COMMENT = T.StructType([T.StructField("id", S), T.StructField("snippet", _COMMENT_SNIPPET)])
-
-THREAD_ITEM = T.StructType([
-    T.StructField("snippet", T.StructType([
-        T.StructField("channelId", S), T.StructField("channelTitle", S),
-        T.StructField("videoId", S), T.StructField("videoTitle", S),
-        T.StructField("topLevelComment", _COMMENT),
-    ])),
-    T.StructField("replies", T.StructType([T.StructField("comments", T.ArrayType(_COMMENT))])),
-])
-THREAD_PAGE = T.StructType([
-    T.StructField("items", T.ArrayType(THREAD_ITEM)),
-    T.StructField("nextPageToken", S),
-])
+# Payload shapes of the comment-thread API and the video-statistics API: the fields that the raw
+# tables need.  Counters arrive as numbers or as strings such as "1,234": they are kept as text.
+_SNIPPET = ("struct<authorChannelId: struct<value: string>, authorDisplayName: string, textOriginal: string, "
+            "textDisplay: string, likeCount: string, publishedAt: string, updatedAt: string>")
+COMMENT = f"id string, snippet {_SNIPPET}"
+THREAD_ITEM = ("snippet struct<channelId: string, channelTitle: string, videoId: string, videoTitle: string, "
+               f"topLevelComment: struct<id: string, snippet: {_SNIPPET}>>, replies struct<comments: array<string>>")
 
 VIDEO_ITEM = T.StructType([
     T.StructField("id", S),
@@ -89,7 +72,6 @@ VIDEO_ITEM = T.StructType([
         T.StructField("channelId", S), T.StructField("title", S),
         T.StructField("channelTitle", S), T.StructField("publishedAt", S),
     ])),
-    # counters arrive as numbers or as strings such as "1,234": keep them as text
     T.StructField("statistics", T.StructType([
         T.StructField("viewCount", S), T.StructField("likeCount", S),
         T.StructField("commentCount", S),

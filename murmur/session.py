@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -23,23 +24,28 @@ LOCAL_DEFAULTS = {
     # window is partitioned by (video_id, comment_id) and the curated join adds
     # channel_id, so the insights side is shuffled once instead of twice
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+# Settings of the application itself, for sessions that this function starts on one machine.
+LOCAL_APPLICATION = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "murmur", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    given = dict(extra or {})
+    if shuffle_partitions:
+        given.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        if master.startswith("local"):
+            given = {**LOCAL_APPLICATION, **given}
+    for k, v in given.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    set_by_cluster = spark.sparkContext.getConf()
+    for k, v in LOCAL_DEFAULTS.items():
+        if k not in given and not set_by_cluster.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -59,3 +65,23 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the executors' Python workers, once per application (functions
+    that run there are pickled by reference)."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _shipped or not os.path.isdir(root):      # sent already, or itself an archive
+        return
+    _shipped.add(sc.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="murmur-package-"), "murmur_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    sc.addPyFile(archive)

@@ -26,19 +26,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table spread over the session's task slots.
-
-    The driver file is a single Parquet row group, so a plain scan feeds all
-    text work to one task; a stored comment table would be many files.  One
-    round-robin exchange of the raw rows restores normal scan parallelism.
-    """
+    """The ``documents`` table; see ``_spread``."""
     return _spread(spark, _read(spark, sf_dir, "documents"))
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin the rows of a single-row-group driver file over the task slots
-    (used before heavy per-row work only)."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    """A scan that would leave task slots idle (the driver's small tables are one row group, so one
+    task) is dealt over the slots before heavy per-row work; a table of many files is read as it lies."""
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def _s(c: Column) -> Column:
@@ -156,13 +152,15 @@ def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with ``like_count % 9 <> 0`` passed through curation; the rest stay pending.
+    No reader of this table uses ``language``, so it is left NULL."""
+    from murmur.operators.curate import curate
+    return curate(raw_comments(spark, sf_dir).where(F.col("like_count") % 9 != 0))
+
 
-    The language model is fitted on ``documents``; queries that do not select
-    ``language`` never run it (the scoring is a projection that gets pruned).
-    """
-    from murmur.operators.curate import curate, language_model
-    raw = raw_comments(spark, sf_dir).where(F.col("like_count") % 9 != 0)
-    return curate(raw, language_model(language_training(spark, sf_dir)))
+def all_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw row passed through curation: the table once nothing is pending."""
+    from murmur.operators.curate import curate
+    return curate(raw_comments(spark, sf_dir))
 
 
 # -- long comments from documents ---------------------------------------------
@@ -184,9 +182,16 @@ def long_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(out, schemas.RAW_COMMENTS, "lang")
 
 
+HELD_OUT = 5      # one document in so many (by crc32 of its id) trains no language
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(_s(doc_id)) % HELD_OUT == 0
+
+
 def language_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(text, lang) examples for the language-id model."""
-    return documents(spark, sf_dir).select(F.col("text"), F.col("lang"))
+    """(text, lang) examples for the language-id model: the documents that are not held out."""
+    return documents(spark, sf_dir).where(~held_out(F.col("doc_id"))).select("text", "lang")
 
 
 # -- JSON payloads and model replies ------------------------------------------
@@ -316,9 +321,11 @@ def _iso(c: Column) -> Column:
 def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment-thread API pages (JSON text) rebuilt from ``conversations``: one
     thread per conversation (turn 0 on top, later turns as replies), at most 10
-    threads per page.  Flattening them must give back ``raw_comments``."""
+    threads per page, with fields (kind, etag) that no schema of ours names.  Flattening them must give
+    back ``raw_comments``."""
     raw = raw_comments(spark, sf_dir, keep_source_keys=True)
     comment = F.struct(
+        F.lit("comment").alias("kind"),
         F.col("comment_id").alias("id"),
         F.struct(F.struct(F.col("author_channel_id").alias("value")).alias("authorChannelId"),
                  F.col("author_display_name").alias("authorDisplayName"),
@@ -335,6 +342,7 @@ def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("comment", F.when(F.col("turn") == 0, 1).otherwise(0)).alias("top"),
         F.array_sort(F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", "comment")))).alias("r"))
     item = F.struct(
+        F.concat(F.lit("e"), _s(F.col("conv_id"))).alias("etag"),
         F.struct("channelId", "channelTitle", "videoId", "videoTitle",
                  F.col("top").alias("topLevelComment")).alias("snippet"),
         F.struct(F.transform("r", lambda x: x.getField("comment")).alias("comments")).alias("replies"))
@@ -343,6 +351,31 @@ def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(F.to_json(F.struct("items")).alias("page_json"))
 
 
+def faulty_thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``thread_pages`` and, for some conversations, a page that is cut off, one whose thread has no
+    snippet, one with a reply without snippet, and one whose items are no list."""
+    c = _read(spark, sf_dir, "conversations").where("turn = 0")
+    return thread_pages(spark, sf_dir).union(c.select(F.expr(faulty_page_sql("string")).alias("page_json")).where("page_json is not null"))
+
+
+def faulty_page_sql(text: str) -> str:
+    """The faulty page of a conversation (``text``: the dialect's name of the string type)."""
+    i = f"CAST(conv_id AS {text})"
+    return f"""CASE conv_id % 17
+  WHEN 3 THEN '{{"items":[{{"id":"' || {i} || '","snippet":{{"videoId":"v'
+  WHEN 5 THEN '{{"items":[{bad_thread_sql(i)}],"nextPageToken":"n"}}'
+  WHEN 7 THEN '{{"items":[{{"snippet":{{"topLevelComment":{{"snippet":{{}}}}}},"replies":{{"comments":[{bad_reply_sql(i)}]}}}}]}}'
+  WHEN 9 THEN '{{"items":' || {i} || '}}' END"""
+
+
+def bad_thread_sql(i: str) -> str:
+    return f"""{{"id":"c' || {i} || '","replies":{{"comments":[]}}}}"""
+
+
+def bad_reply_sql(i: str) -> str:
+    return f"""{{"id":"c' || {i} || '.x","etag":"new"}}"""
+
+
 def video_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video-statistics API pages (JSON text, <= 50 items each) with counters as
     numbers, comma strings, padded strings, junk or missing."""

@@ -9,6 +9,7 @@ table is partitioned by ``model_name`` and the raw tables by ingest day, so
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +100,6 @@ def stage(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     the cluster names, never a machine-local temp dir.
     """
     from murmur.session import ensure_checkpoint_dir
-    path = os.path.join(ensure_checkpoint_dir(spark), "stages", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = os.path.join(ensure_checkpoint_dir(spark), "stages", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import schemas
-from murmur.operators import annotate, curate
+from murmur.operators import annotate, curate, langid
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -48,7 +48,7 @@ def batch_writer(out_dir: str, build):
     return write
 
 
-def curate_batch_writer(spark: SparkSession, out_dir: str, language_model: DataFrame | None = None):
+def curate_batch_writer(spark: SparkSession, out_dir: str, language_model: langid.Model | None = None):
     def build(batch: DataFrame, batch_id: int) -> DataFrame:
         done = _done(spark, out_dir, "comment_id string", batch_id)
         return curate.curate(curate.pending_curation(batch, done), language_model)
@@ -56,7 +56,7 @@ def curate_batch_writer(spark: SparkSession, out_dir: str, language_model: DataF
 
 
 def curate_stream(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-                  language_model: DataFrame | None = None, available_now: bool = True):
+                  language_model: langid.Model | None = None, available_now: bool = True):
     """Start (and, with ``available_now``, run to completion) the curation stream."""
     raw = spark.readStream.schema(schemas.RAW_COMMENTS).parquet(raw_dir)
     q = (raw.writeStream.foreachBatch(curate_batch_writer(spark, out_dir, language_model))

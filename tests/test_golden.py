@@ -148,6 +148,57 @@ def test_language_of_rows_without_id(spark):
     assert sorted((r.comment_id or "-", r.language) for r in got) == [("-", "en")] * 3 + [("-", "unknown"), ("x", "en")]
 
 
+TURKISH = ["bu telefonun kamerası çok güzel ama bataryası kötü", "fiyatı biraz yüksek olsa da kaliteli bir ürün",
+           "videoyu çok beğendim emeğine sağlık hocam", "bunu alsam mı yoksa diğerini mi beklesem bilemedim",
+           "ekranı gerçekten çok parlak ve renkleri canlı görünüyor", "şarjı bir gün bile gitmiyor maalesef"]
+
+
+def test_turkish_is_told_from_the_documents_languages(spark):
+    from murmur.operators import curate
+    from murmur.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    seen = fx.language_training(spark, SF_SMALL).union(spark.createDataFrame([(t, "tr") for t in TURKISH[:4]], "text string, lang string"))
+    model = curate.language_model(seen)
+    assert {"tr", "en", "de"} <= set(model.languages)
+    rows = [(f"c{i}", t) for i, t in enumerate(["EKRANI ÇOK PARLAK VE GÜZEL", "Şarjı çok kötü, bir gün gitmiyor", "the thing and the other", "kısa"[:3]])]
+    raw = spark.createDataFrame([(i, "v", "ch", t, None, None, 0) for i, t in rows],
+                                "comment_id string, video_id string, channel_id string, text_original string, parent_id string, author_channel_id string, like_count long")
+    got = {r.comment_id: (r.language, r.is_turkish) for r in curate.curate(raw, model).collect()}
+    assert got["c0"] == got["c1"] == ("tr", True) and got["c2"] == ("en", False) and got["c3"] == ("unknown", False)
+
+
+def test_language_weights_and_sums_by_hand(spark):
+    import math
+    from collections import Counter
+    seen = [("en", "the cat"), ("en", "a hat"), ("fr", "le chat 😀"), (None, "zzz")]
+    model = langid.fit(spark.createDataFrame(seen, "lang string, text_clean string"))
+    grams = lambda t: [f" {t} "[i:i + k] for k in (1, 2, 3) for i in range(len(t) + 3 - k)]
+    counts = {lang: Counter(g for x, t in seen if x == lang for g in grams(t)) for lang in ("en", "fr")}
+    distinct = {k: {g for c in counts.values() for g in c if len(g) == k} for k in (1, 2, 3)}
+    total = {(lang, k): sum(n for g, n in c.items() if len(g) == k) for lang, c in counts.items() for k in (1, 2, 3)}
+
+    def best(text):
+        known = [g for g in grams(text) if g in distinct[len(g)]]
+        if len(text) < 5 or not known:
+            return "unknown"
+        of = {lang: sum(math.floor(1000 * math.log((counts[lang][g] + 0.5) / (total[lang, len(g)] + 0.5 * len(distinct[len(g)])))) for g in known)
+              for lang in ("en", "fr")}
+        return min(of, key=lambda x: (-of[x], x))
+
+    texts = ["the chat", "le hat ", "chat 😀", "tttttt", "qqqqqq", "", "abc", "the cat " * 40_000]
+    assert len(model.codes) == sum(map(len, distinct.values()))
+    assert model.best(texts) == [best(t) for t in texts]
+    assert langid.Model(("en",), model.codes[:0], model.weights[:0, :1]).best(["hello there"]) == ["unknown"]
+
+
+def test_language_model_without_rows_and_with_a_bound(spark):
+    none = langid.fit(spark.createDataFrame([], "lang string, text_clean string"))
+    df = spark.createDataFrame([("hello there",), (None,)], "text_clean string")
+    assert {r.language for r in langid.predict(df, "text_clean", none).collect()} == {"unknown"}
+    few = langid.fit(spark.createDataFrame([("en", "aaaa b")], "lang string, text_clean string"), max_grams=2)
+    assert len(few.codes) == 2
+
+
 def test_sentiment_choices_are_sorted_and_all_keeps_every_row(spark):
     f5 = spark.createDataFrame([("v", s, "t", "x", False) for s in ("positive", "negative", None, "mixed", "negative")],
                                "video_id string, general_sentiment string, topic string, text_clean string, purchase_intent boolean")
@@ -160,6 +211,17 @@ def test_forced_choice_request_does_not_offer_neutral():
     assert "(one of: positive, negative, mixed)" in annotate.TAGGING_SYSTEM_FORCED
 
 
+def test_dedup_keeps_the_newest_row_of_an_id_and_every_row_without_one(spark):
+    from murmur.operators import curate
+    rows = [("a", "old", 1), ("a", "new", 2), (None, "one", 1), (None, "two", 1), (None, "two", 1), ("b", "done", 1)]
+    raw = spark.createDataFrame([(i, "v", "ch", t, None, None, 0, n, n) for i, t, n in rows],
+                                "comment_id string, video_id string, channel_id string, text_original string, parent_id string, "
+                                "author_channel_id string, like_count long, ingested_at long, updated_at long")
+    done = spark.createDataFrame([("b",), (None,)], "comment_id string")
+    got = sorted((r.comment_id or "", r.text_clean) for r in curate.curate_dedup(raw, done).collect())
+    assert got == [("", "one"), ("", "two"), ("", "two"), ("a", "new")]
+
+
 def test_malformed_reply_keeps_row_with_defaults(spark):
     tag = spark.createDataFrame([("c1", '{"general_sentiment": "pos')], "comment_id string, tagging_json string")
     replies = spark.createDataFrame([], "comment_id string, pos int, aspect_json string")
@@ -176,7 +238,63 @@ def test_lexicon_tagger_question_purchase_and_evidence(spark):
     assert t.general_sentiment == "mixed"
     assert "battery" in t.aspect_names
     ev = {r.aspect: r.evidence for r in annotate.aspect_evidence(annotate.lexicon_tags(df)).collect()}
-    assert ev["battery"] == "kamerası harika ama batarya kötü"
+    assert ev["battery"] == ev["camera"] == "kamerası harika ama batarya kötü"
+
+
+TAGGED = [
+    ("fiyatı yüksek ama bataryası iyi. x markayla kıyaslar mısınız?", ["price", "battery", "comparison"]),
+    ("sessiz bir yer. ses kötü", ["audio"]),
+    ("sessiz bir yer", []),
+    ("dayanıklılığı ve sağlamlığı", ["build_quality", "durability"]),
+    ("fotoğrafları, ekranından; 128 gb", ["camera", "display", "storage"]),
+    ("fiyat/performans oranı süper", ["value_for_money"]),
+    ("x ile y arasında hangisi", ["comparison"]),
+    ("arkadaşım ile gittim", []),
+    ("pil ömrünü merak ediyorum", ["battery"]),
+    ("ses ses ses", ["audio"]),
+    ("müşteri hizmetlerinden ve garantisinden", ["customer_service"]),
+    ("the screens and cameras", ["camera", "display"]),
+    ("sesli sessizlik paneller", ["display"]),
+    ("", []), (None, []), ("?!.", []),
+    ("kalitesi " * 3000, ["build_quality", "durability"]),
+]
+
+
+def test_turkish_phrases_with_endings(spark):
+    df = spark.createDataFrame([(f"c{i}", "v", "ch", t) for i, (t, _) in enumerate(TAGGED)],
+                               "comment_id string, video_id string, channel_id string, text_clean string")
+    got = {r.comment_id: sorted(r.aspect_names) for r in annotate.lexicon_tags(df).collect()}
+    assert got == {f"c{i}": sorted(want) for i, (_, want) in enumerate(TAGGED)}
+
+
+EVIDENCE = [
+    ("sessiz bir yer. ses kötü", "audio", "ses kötü"),
+    ("bataryalı. batarya iyi! bataryası kötü", "battery", "batarya iyi"),
+    ("bir " + "çok " * 30 + "ucuz", "price", " ".join(["bir"] + ["çok"] * 19)),
+    ("ilk cümle\nx ile y arasında fark var. karşılaştırma", "comparison", "x ile y arasında fark var"),
+]
+
+
+def test_evidence_is_the_sentence_of_the_match(spark):
+    df = spark.createDataFrame([(f"c{i}", "v", "ch", t) for i, (t, _, _) in enumerate(EVIDENCE)],
+                               "comment_id string, video_id string, channel_id string, text_clean string")
+    got = {(r.comment_id, r.aspect): r.evidence for r in annotate.aspect_evidence(annotate.lexicon_tags(df)).collect()}
+    for i, (_, aspect, want) in enumerate(EVIDENCE):
+        assert got[f"c{i}", aspect] == want
+
+
+def test_own_lexicon(spark):
+    df = spark.createDataFrame([("c", "v", "ch", "tadı güzel, kokusu kötü")], "comment_id string, video_id string, channel_id string, text_clean string")
+    r = annotate.lexicon_tags(df, lexicon={"taste": ["tad", "tat"], "smell": ["koku"]}).collect()[0]
+    assert r.aspect_names == ["taste", "smell"] and r.general_sentiment == "mixed"
+
+
+def test_every_hint_is_reachable(spark):
+    rows = [(f"{i}.{j}", "v", "ch", "a ile b arasında" if p == annotate.COMPARED else p)
+            for i, (_, phrases) in enumerate(annotate.ASPECT_HINTS) for j, p in enumerate(phrases)]
+    df = spark.createDataFrame(rows, "comment_id string, video_id string, channel_id string, text_clean string")
+    for r in annotate.lexicon_tags(df).collect():
+        assert set(annotate.ASPECT_HINTS[int(r.comment_id.split(".")[0])][0]) <= set(r.aspect_names), r
 
 
 def test_reply_rejects(spark):

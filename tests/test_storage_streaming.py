@@ -115,12 +115,40 @@ def test_thread_rejects_and_flatten(spark):
         "id": "t1", "snippet": {"textOriginal": "hi", "likeCount": 2, "publishedAt": "2024-01-02T03:04:05Z"}}},
         "replies": {"comments": [{"id": "r1", "snippet": {"textOriginal": "yo", "authorChannelId": {"value": "c"}}}]}},
         {"replies": {"comments": []}}]}
-    pages = payloads.parse_pages(spark.createDataFrame([(json.dumps(good),)], "page_json string"))
+    pages = spark.createDataFrame([(json.dumps(good),)], "page_json string")
     rows = {r.comment_id: r for r in payloads.flatten_threads(pages).collect()}
     assert set(rows) == {"t1", "r1"}
     assert rows["r1"].parent_id == "t1" and rows["r1"].is_top_level is False
     assert rows["t1"].ingested_at == rows["r1"].ingested_at
-    assert payloads.thread_rejects(pages).count() == 1
+    assert [tuple(r) for r in payloads.thread_rejects(pages).collect()] == [("thread", '{"replies":{"comments":[]}}')]
+
+
+def test_payload_is_kept_as_it_came(spark):
+    """Fields that no schema names, their order, blanks and number forms survive in raw_payload."""
+    reply = '{"etag":"x1", "id":"r1","snippet":{"textOriginal":"yo \\u00e9","likeCount":"7","extra":[1.50,{"z":null,"a":1}]}}'
+    item = '{"kind":"t","snippet":{"videoId":"v","unknown":{"b":2},"topLevelComment":{"id":"t1","snippet":{"textOriginal":"hi"}}},"replies":{"comments":[' + reply + ']}}'
+    pages = spark.createDataFrame([('{"kind":"list","items":[' + item + '],"nextPageToken":"n"}',)], "page_json string")
+    rows = {r.comment_id: r for r in payloads.flatten_threads(pages).collect()}
+    assert json.loads(rows["t1"].raw_payload) == json.loads(item) and json.loads(rows["r1"].raw_payload) == json.loads(reply)
+    assert list(json.loads(rows["r1"].raw_payload)) == ["etag", "id", "snippet"]
+    assert rows["r1"].like_count == 7 and rows["t1"].like_count is None
+    assert payloads.thread_rejects(pages).count() == 0
+
+
+def test_every_faulty_payload_lands_in_the_rejects(spark, scratch):
+    ok = '{"snippet":{"videoId":"v","topLevelComment":{"id":"t","snippet":{}}}}'
+    pages = ['{"items":[{"snippet"', "", "[1]", '"x"', '{"items":5}', None, '{"items":[' + ok + ',{"id":"n"},null,7,{"snippet":{"topLevelComment":{"id":"q"}}}]}',
+             '{"items":[{"snippet":{"topLevelComment":{"id":"u","snippet":{}}},"replies":{"comments":[{"id":"r"},{"id":"s","snippet":{}}]}}]}',
+             '{"items":[{"snippet":{"topLevelComment":{"id":"w","snippet":{}}},"replies":{"comments":9}}]}', '{"items":[]}', "{}", '{"nextPageToken":"z"}']
+    df = spark.createDataFrame([(p,) for p in pages], "page_json string")
+    assert sorted(r.comment_id for r in payloads.flatten_threads(df).collect()) == ["s", "t", "u"]
+    found = [(r.reason, r.payload) for r in payloads.thread_rejects(df).collect()]
+    assert sorted((p or "") for why, p in found if why == "page") == sorted(p or "" for p in pages[:6])
+    assert sorted((p or "") for why, p in found if why == "reply") == ['{"id":"r"}']
+    assert len([1 for why, _ in found if why == "thread"]) == 5
+    path = os.path.join(scratch, "pages")
+    df.where("page_json is not null").coalesce(1).write.text(path)
+    assert payloads.flatten_threads(payloads.read_pages(spark, path)).count() == 3
 
 
 def test_language_model_accuracy(spark):
@@ -130,6 +158,8 @@ def test_language_model_accuracy(spark):
     n = sum(r.n for r in acc)
     ok = sum(r.n_correct for r in acc)
     assert ok / n > 0.95
+    held = langid.accuracy(q.where("held_out")).agg(F.sum("n").alias("n"), F.sum("n_correct").alias("ok")).first()
+    assert held["n"] > 20 and held["ok"] / held["n"] > 0.95
 
 
 def test_request_export_roundtrip(spark, scratch):
