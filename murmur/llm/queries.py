@@ -89,12 +89,12 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
 
 ORACLES["op2_exact_top_k"] = """
 WITH v AS (
-  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)

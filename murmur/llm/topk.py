@@ -11,29 +11,34 @@ too.  Tasks emit at most k rows a query; a window takes the final k.
 Nulls, ties, empty input: rows with a NULL vec_id, a NULL vector, or a NULL or non-finite component
 take no part; vectors of different length are never compared; equal scores go to the
 smaller vec_id; a row never meets rows of its own vec_id, and a query id that occurs twice
-searches with its smallest vector; components saturate at +-2^28, so that scores
-fit a long; an empty table gives an empty result; further columns are ignored.
+searches with its smallest vector; scores are exact integers, and one that no long holds becomes the
+nearest long (then equal to others that do); an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import dense, ship
+from murmur.llm.common import dense, ship, staged
 
 BLOCK = 4096        # rows of one tree over the data
 GROUP = 8192        # queries that are broadcast together
 LEAF = 32
-_CAP = float(1 << 28)
+_MOST = np.iinfo(np.int64).max
+_NONE = np.iinfo(np.int64).min       # no score yet
 
 
 def integer(x: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(1024.0 * x), -_CAP, _CAP)
+    """floor(1024 * x), exact in doubles; what overflows them becomes the largest one."""
+    with np.errstate(over="ignore"):
+        return np.nan_to_num(np.floor(1024.0 * x))
 
 
 class Node:
@@ -43,7 +48,8 @@ class Node:
 
     def __init__(self, lo: int, hi: int, center: np.ndarray, radius: float, longest: float):
         self.lo, self.hi, self.center, self.radius, self.longest = lo, hi, center, radius, longest
-        self.norm = float(np.sqrt(center @ center))
+        with np.errstate(over="ignore"):
+            self.norm = float(np.sqrt(center @ center))
         self.children: list[Node] = []
 
 
@@ -58,13 +64,15 @@ class CoverTree:
     def __init__(self, x: np.ndarray):
         self.x = x
         self.order = np.empty(len(x), np.int64)
-        self.norms = np.sqrt((x * x).sum(axis=1))
+        with np.errstate(over="ignore"):
+            self.norms = np.sqrt((x * x).sum(axis=1))
         self.root = self._grow(np.arange(len(x)), None, 0)
         self.x = x[self.order]
 
     def _apart(self, rows: np.ndarray, center: np.ndarray) -> np.ndarray:
-        diff = self.x[rows] - center
-        return np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        with np.errstate(over="ignore", invalid="ignore"):
+            diff = self.x[rows] - center
+            return np.sqrt(np.einsum("ij,ij->i", diff, diff))
 
     def _grow(self, rows: np.ndarray, far: np.ndarray | None, at: int) -> Node:
         center = self.x[rows[0]]
@@ -110,17 +118,17 @@ class Search:
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
         self.k, self.tree = k, CoverTree(x)
         self.ids = ids[self.tree.order]
-        self.best = np.full((len(ids), k), -np.inf)
+        self.best = np.full((len(ids), k), _NONE)
         self.rows = np.full((len(ids), k), np.iinfo(np.int64).max)
         self.floor = self._seeds()
 
     def _seeds(self) -> np.ndarray:
         """k-th best score among the other queries: what the k-th best row reaches at least."""
-        n, floor = len(self.ids), np.full(len(self.ids), -np.inf)
+        n, floor = len(self.ids), np.full(len(self.ids), _NONE)
         if n > self.k:
             for lo in range(0, n, 512):
                 s = product(self.tree.x[lo:lo + 512], self.tree.x)
-                s[np.arange(len(s)), lo + np.arange(len(s))] = -np.inf
+                s[np.arange(len(s)), lo + np.arange(len(s))] = _NONE
                 floor[lo:lo + 512] = np.partition(s, n - self.k, axis=1)[:, n - self.k]
         return floor
 
@@ -130,7 +138,8 @@ class Search:
         stack = [(self.tree.root, data.root)]
         while stack:
             q, r = stack.pop()
-            if self._bound(q, r) < self._worst(q):
+            worst = self._worst(q)
+            if worst > float(_NONE) and self._bound(q, r) < worst:
                 continue
             if not q.children and not r.children:
                 self._compare(q, r, data.x, ids)
@@ -143,8 +152,10 @@ class Search:
 
     @staticmethod
     def _bound(q: Node, r: Node) -> float:
-        b = min(float(q.center @ r.center) + q.radius * r.norm + r.radius * q.norm + q.radius * r.radius, q.longest * r.longest)
-        return b + 1 + abs(b) * 1e-9       # room for rounding
+        with np.errstate(over="ignore", invalid="ignore"):
+            b = min(float(q.center @ r.center) + q.radius * r.norm + r.radius * q.norm + q.radius * r.radius, q.longest * r.longest)
+        size = q.norm * r.norm + q.longest * r.longest       # of what may have cancelled
+        return b + 1 + size * 1e-9 if np.isfinite(b) and np.isfinite(size) else np.inf       # room for rounding
 
     def _worst(self, q: Node) -> float:
         return float(np.maximum(self.best[q.lo:q.hi, -1], self.floor[q.lo:q.hi]).min())
@@ -155,28 +166,34 @@ class Search:
             s = product(self.tree.x[lo:hi], x[r.lo:r.hi])
             own = self.ids[lo:hi, None] == ids[None, r.lo:r.hi]
             if own.any():
-                s[own] = -np.inf
+                s[own] = _NONE
             least = np.maximum(self.best[lo:hi, -1], self.floor[lo:hi])
-            hit = np.flatnonzero((s >= least[:, None]).any(axis=1) & np.isfinite(s).any(axis=1))
+            hit = np.flatnonzero(((s >= least[:, None]) & (s > _NONE)).any(axis=1))
             if len(hit):
                 at = lo + hit
                 scores = np.concatenate([self.best[at], s[hit]], axis=1)
                 rows = np.concatenate([self.rows[at], np.broadcast_to(ids[r.lo:r.hi], (len(hit), r.hi - r.lo))], axis=1)
-                order = np.lexsort((rows, -scores), axis=1)[:, :self.k]
+                order = np.lexsort((rows, ~scores), axis=1)[:, :self.k]
                 self.best[at] = np.take_along_axis(scores, order, 1)
                 self.rows[at] = np.take_along_axis(rows, order, 1)
 
     def result(self) -> pa.RecordBatch:
-        q, j = np.nonzero(np.isfinite(self.best) & (self.best >= self.floor[:, None]))
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.rows[q, j]), pa.array(self.best[q, j].astype(np.int64))],
+        q, j = np.nonzero((self.best > _NONE) & (self.best >= self.floor[:, None]))
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.rows[q, j]), pa.array(self.best[q, j])],
                                           ["query_id", "vec_id", "score"])
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products; through longs where doubles would round."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= 2.0 ** 53:
-        return (a.astype(np.int64) @ b.astype(np.int64).T).astype(np.float64)
-    return a @ b.T
+    """Exact inner products of integers held in doubles, as longs: in doubles where those do not
+    round, else in longs, else in Python's integers (beyond a long: the nearest long)."""
+    with np.errstate(over="ignore"):
+        most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+    if most < 2.0 ** 53:
+        return (a @ b.T).astype(np.int64)
+    if most < 2.0 ** 62 and max(np.abs(a).max(), np.abs(b).max()) < 2.0 ** 62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    whole = np.vectorize(int, otypes=[object])
+    return np.clip(whole(a) @ whole(b).T, -_MOST, _MOST).astype(np.int64)
 
 
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
@@ -189,16 +206,18 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
              .filter(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
              .groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     groups = max(1, -(-asked.count() // GROUP))
-    found = None
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = []
     for g in range(groups):
-        # one bounded group of queries at a time; the hash deals about GROUP to each
+        # one bounded group of queries at a time (the hash deals about GROUP to each), one live broadcast
         part = asked if groups == 1 else asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g)
         rows = part.orderBy("vec_id").collect()
         sent = spark.sparkContext.broadcast([(r["vec_id"], np.array(r["embedding"], np.float64)) for r in rows])
         one = data.mapInArrow(_searcher(sent, k), "query_id long, vec_id long, score long")
-        found = one if found is None else found.union(one)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        ranked = one.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found.append(staged(ranked, "top-k"))
+        sent.destroy()
+    return reduce(DataFrame.union, found)
 
 
 def _searcher(sent, k: int):

@@ -1,5 +1,8 @@
 """Exact top-k against brute force."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow.parquet as pq
 
@@ -7,12 +10,13 @@ from murmur.llm import topk
 
 
 def brute(rows, every, k):
-    ok = [(i, np.floor(1024 * np.array(v, float)).astype(np.int64)) for i, v in rows
+    ok = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows
           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = {}
-    for q, qv in sorted(ok, key=lambda r: (r[0], r[1].tolist())):
+    for q, qv in sorted(ok):
         if q % every == 0 and q not in {x[0] for x in out}:
-            s = sorted((-int(qv @ v), i) for i, v in ok if i != q and len(v) == len(qv))[:k]
+            most = 2**63 - 1
+            s = sorted((-min(most, max(-most, sum(a * b for a, b in zip(qv, v)))), i) for i, v in ok if i != q and len(v) == len(qv))[:k]
             for rank, (score, i) in enumerate(s, 1):
                 out[q, rank] = (i, -score)
     return out
@@ -40,6 +44,28 @@ def test_edges(spark):
     assert topk.top_k(df.limit(0)).collect() == []
 
 
+def test_large_components_and_scores(spark):
+    """Products that doubles would round, that need longs, and that no long holds."""
+    rng = np.random.default_rng(9)
+    rows = [(0, [1e6, 0.0, 0.0]), (1, [1e6, 0.0, 0.0]), (2, [2e6, 0.0, 0.0])]
+    rows += [(i, [1e6, float(i % 7) / 1024, 0.0]) for i in range(3, 40)]                     # scores differ by less than a double tells
+    rows += [(100, [1e6, 1.0, 3.0]), (200, [-1e6, 1e5, 0.25]), (300, [1e300, -1e300, 1.0]), (301, [1e300, 1.0, 1.0]), (302, [1.7e308, 0.0, 0.0]), (400, [0.0, 2.0, 0.0])]
+    rows += [(i, rng.normal(size=3).tolist()) for i in range(500, 560)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got_rows, want = got(topk.top_k(df, k=10)), brute([(i, v) for i, v in rows if i != 302] + [(302, [np.finfo(float).max / 1024, 0.0, 0.0])], 100, 10)
+    assert got_rows == want
+    small = [(i, v) for i, v in rows if max(map(abs, v)) < 1e7]
+    scores = got(topk.top_k(spark.createDataFrame(small, "vec_id long, embedding array<double>"), k=10))
+    assert scores == brute(small, 100, 10) and scores[0, 1] == (2, 2 * (1024 * 10**6) ** 2)
+
+
+def test_groups_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)]
+    assert got(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=25, k=5)) == brute(rows, 25, 5)
+
+
 def test_search_prunes_and_stays_exact():
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(20, 8)) * 3
