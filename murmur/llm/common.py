@@ -60,6 +60,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(col: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without a detour through ``str``."""
     if isinstance(col, pa.ChunkedArray):

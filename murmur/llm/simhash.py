@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import Labels, gather, ship, staged, text_bytes
+from murmur.llm.common import Labels, gather, ship, staged, text_bytes, unused
 from murmur.llm.graph import connected_components
 
 BLOCK = 4096          # fingerprints of one chunk value that are compared inside one task
@@ -277,20 +277,23 @@ def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group, all columns kept."""
+    key, = unused(docs, "key")
     keep = (simhash_groups(docs, shingle, max_bits).filter("doc_id = component_id")
-            .select(F.col("doc_id").alias("_keep")).distinct())
-    return docs.join(keep, docs["doc_id"].cast("long") == F.col("_keep"), "left_semi")
+            .select(F.col("doc_id").alias(key)).distinct())
+    return (docs.withColumn(key, F.col("doc_id").cast("long")).join(keep, key, "left_semi")
+            .select(*(f"`{c}`" for c in docs.columns)))
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with exactly one row of each group: of the smallest doc_id, NULL last, and of
     rows that repeat it the first by a key that every row gets when it is written here."""
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    row, = unused(docs, "row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
     # groups by row key: the smallest key stands for a group, also where all ids are NULL
-    fps = staged(fingerprints(rows.select(F.col("_row").alias("doc_id"), "text"), shingle), "simhash-fp")
-    groups = _grouped(fps, max_bits).select(F.col("doc_id").alias("_row"), "component_id")
-    ids = rows.select("_row", F.col("doc_id").cast("long").alias("id"))
-    keep = (groups.join(ids, "_row").groupBy("component_id")
-            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("first"))
-            .select(F.col("first._row").alias("_row")))
-    return rows.join(keep, "_row", "left_semi").select(*docs.columns)
+    fps = staged(fingerprints(rows.select(F.col(row).alias("doc_id"), "text"), shingle), "simhash-fp")
+    groups = _grouped(fps, max_bits).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    keep = (groups.join(ids, "row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+            .select(F.col("first.row").alias(row)))
+    return rows.join(keep, row, "left_semi").select(*(f"`{c}`" for c in docs.columns))

@@ -99,3 +99,11 @@ def test_one_row_of_each_group_also_without_ids(spark):
     got = sorted((r["text"], r["doc_id"]) for r in kept.collect())
     assert got == sorted([(copy, 3), (other, None), (third, None), ("alone", 9)])
     assert simhash.one_of_each_group(df.limit(0)).collect() == []
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c", 33, "k", 1), (2, "a b c", 34, "l", 2), (3, "x y z", 35, "m", 3)],
+                               "doc_id long, text string, _row int, row string, Key int")
+    want = [(1, "a b c", 33, "k", 1), (3, "x y z", 35, "m", 3)]
+    for out in (simhash.one_of_each_group(df), simhash.simhash_dedup(df)):
+        assert out.columns == df.columns and sorted(tuple(r) for r in out.collect()) == want
