@@ -52,11 +52,23 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(out)
 
 
+#: Spark removes the shuffle files of an execution as it ends, instead of when the driver collects garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back."""
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    The shuffles below it are not needed any more then, and go at once: the next steps read the table.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/murmur-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

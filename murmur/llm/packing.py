@@ -5,9 +5,9 @@ pieces of ``size`` tokens (the last may be shorter).  Pieces are placed by the
 sum-of-squares rule: with N(g) open sequences of residual gap g, a piece goes where the
 sum of N(g)^2 over all gaps becomes smallest, be it an open sequence or a new one.
 
-Only the small piece rows (no text, no ids) are shuffled.  They are dealt by a hash of
-their key over ``ceil(documents / per_packer)`` packers, so each packer holds
-a bounded number of pieces at any input size, and packs them longest first.
+Only the small piece rows (no text, no ids) are shuffled.  They are written, counted and dealt in
+turn over ``ceil(pieces / per_packer)`` packers, so each packer holds a bounded number of pieces at any
+input size and whatever ids repeat, and packs them longest first.
 What the last sequences of a packer leave unfilled is at most a few in
 ``per_packer``.
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ship
+from murmur.llm.common import ship, staged
 from murmur.llm.wordids import slices, tokenizers_word_ids
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -89,7 +89,8 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048, per_packer: int = 200_000) -> DataFrame:
     """Pieces of all documents with their sequence_id and gapless offset inside it."""
-    packers = max(1, -(-docs.count() // per_packer))
+    pieced = staged(pieces(docs, tokenizer, size), "pieces")
+    packers = max(1, -(-pieced.count() // per_packer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -102,6 +103,5 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, per_packer: int = 20
         t = t.append_column("sequence_id", pa.array(base + seq)).append_column("offset", pa.array(offset))
         yield from t.to_batches()
 
-    dealt = pieces(docs, tokenizer, size).repartition(packers, F.xxhash64("doc_id", "piece"))
-    ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+    ordered = pieced.repartition(packers).sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
     return ordered.mapInArrow(run, _PIECE + ", sequence_id long, offset long")

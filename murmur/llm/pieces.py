@@ -229,11 +229,22 @@ class Encoder:
         escaped = pc.replace_substring(large(texts), " ", MARK)
         if self.model.prefix:
             escaped = pc.if_else(pc.equal(pc.binary_length(escaped), 0), escaped, pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), escaped, pa.scalar("", pa.large_string())))
-        # a border stands before each run of blank marks: between another character and a mark
-        cut = next(c for c in map(chr, range(0xFDD0, 0xFDF0)) if not pc.any(pc.match_substring(escaped, c)).as_py())
-        listed = pc.split_pattern(pc.replace_substring_regex(escaped, f"([^{MARK}])({MARK})", f"\\1{cut}\\2"), cut)
-        at = np.asarray(listed.offsets, np.int64)
-        return self.cache.of_words(at - at[0], listed.flatten().dictionary_encode())
+        at, chunks = _chunks(escaped)
+        return self.cache.of_words(at, chunks.dictionary_encode())
+
+
+def _chunks(escaped: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(start of each text's chunks and the end, chunks) of large strings: a border stands before each
+    run of blank marks."""
+    ends = np.frombuffer(escaped.buffers()[1], np.int64, len(escaped) + 1, escaped.offset * 8)
+    raw = escaped.buffers()[2]
+    data = np.frombuffer(raw, np.uint8, int(ends[-1])) if raw is not None and ends[-1] else np.zeros(0, np.uint8)
+    a, b, c = MARK.encode()
+    mark = np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c)) if len(data) > 2 else np.zeros(0, np.int64)
+    mark = mark[mark >= ends[0]]
+    borders = np.union1d(ends, mark[np.append(True, np.diff(mark) != 3)[:len(mark)]])
+    chunks = pa.Array.from_buffers(pa.large_string(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64).tobytes()), raw or pa.py_buffer(b"")])
+    return np.searchsorted(borders, ends), chunks
 
 
 _encoders: dict[str, Encoder] = {}

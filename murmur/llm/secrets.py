@@ -2,12 +2,14 @@
 
 Base kinds are regular expressions (leftmost, non-overlapping per kind; too short
 matches are dropped): ``assign``, ``access`` and ``hex``.  The method then looks at every
-other unbroken run of key characters: ordinary words are cheap in a public
-tiktoken vocabulary, random strings are not, so a run that mixes letters and digits and
-gives fewer than ``max_ratio`` characters per token is a secret (kind ``random``).
-Known digests (hex of the usual digest lengths), UUIDs, numbers, dates, host names,
-addresses and paths of plain words are excluded first, and what overlaps a base span is not
-reported twice.  A run of letters alone counts only where its case keeps changing.
+other unbroken run of ``LEAST`` or more key characters: ordinary words are cheap in a public
+tiktoken vocabulary, random strings are not, so a run with fewer characters per token than
+``max_ratio`` is a secret (kind ``random``).  Short runs and runs of letters alone, where
+chance and rare words come nearer, must lie further below (``SHARES``).  Between joining characters the
+parts are tested, so that paths and joined words are judged by their words; a run of short
+parts is tested as a whole if at least half of it mixes letters and digits.  Known digests (hex of the
+usual digest lengths), UUIDs, numbers and dates are excluded, and what overlaps a base span is not
+reported twice.
 
 Nulls and empty input: a NULL text is empty and has no span; a NULL id keeps its row; an empty
 table gives an empty result; repeated rows are scanned each; further columns are ignored by
@@ -30,13 +32,17 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")     # a maximal run of 16 or more
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 12
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+#: (characters, share of ``max_ratio`` for letters alone, for others) from that length on.
+SHARES = ((18, 1.02, 1.05), (16, 0.97, 1.05), (14, 0.9, 0.95), (LEAST, 0.85, 0.95))
+JOINS = re.compile("[-_/+=]+")
 #: Every match of ASSIGN holds one of these in some case.
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
 DIGESTS = frozenset((32, 40, 48, 56, 64, 96, 128))
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 CASE = re.compile("[a-z][A-Z]")
-WORDS = re.compile(r"[A-Za-z]*[0-9]{0,6}([-_/+=][A-Za-z]*[0-9]{0,6})*")
+MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])(?![A-Za-z]+[0-9]+$).{4,}")     # more than a word with a number
 
 Span = tuple[int, int, int]            # start, kind, end
 
@@ -53,14 +59,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 def known(run: str) -> bool:
-    """A digest, identifier or chain of plain words, not a secret."""
+    """A number or date, a UUID or a digest, not a secret."""
     if not any(c.isalpha() for c in run):
         return True
-    if not any(c.isdigit() for c in run):        # letters alone: odd only if their case keeps changing
-        return len(CASE.findall(run)) < 4
-    if UUID.fullmatch(run) or WORDS.fullmatch(run):
-        return True
-    return len(run) in DIGESTS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", run) is not None
+    return UUID.fullmatch(run) is not None or len(run) in DIGESTS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", run) is not None
 
 
 class TokenEfficiency:
@@ -77,12 +79,24 @@ class TokenEfficiency:
     def ratio(self, run: str) -> float:
         return len(run) / len(self.coder.encode_ordinary(run))
 
+    def odd(self, run: str) -> bool:
+        letters = not any(c.isdigit() for c in run) and len(CASE.findall(run)) < 2
+        share = next(a if letters else b for n, a, b in SHARES if len(run) >= n)
+        return self.ratio(run) < share * self.max_ratio
+
+    def secret(self, run: str) -> bool:
+        parts = JOINS.split(run)
+        if any(self.odd(p) for p in parts if len(p) >= LEAST):
+            return not known(run)
+        mixed = sum(len(p) for p in parts if MIXED.match(p))
+        return len(parts) > 1 and 2 * mixed >= len(run) and self.odd(run) and not known(run)
+
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
         found = []
         for m in RUN.finditer(text):
-            if known(m[0]) or any(s < m.end() and m.start() < e for s, _, e in taken):
+            if any(s < m.end() and m.start() < e for s, _, e in taken):
                 continue
-            if self.ratio(m[0]) < self.max_ratio:
+            if self.secret(m[0]):
                 found.append((m.start(), 3, m.end()))
         return found
 

@@ -56,6 +56,18 @@ def test_nulls_empty_odd_and_long_texts(spark):
     assert packing.pack(df.limit(0), PATH).collect() == []
 
 
+def test_rows_without_id_and_long_documents_are_dealt_evenly(spark):
+    """One key holds nearly all pieces; every packer gets its share."""
+    texts = [(None, f"row {i % 7}") for i in range(900)] + [(8, "word " * 2048 * 120)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rows = packing.pack(df, PATH, per_packer=100).collect()
+    check_whole(rows, texts)
+    of_packer = defaultdict(int)
+    for r in rows:
+        of_packer[r["sequence_id"] >> 40] += 1
+    assert len(of_packer) == -(-len(rows) // 100) and max(of_packer.values()) <= 130
+
+
 def test_cache_reset_changes_nothing(monkeypatch):
     words = tokenizers_word_ids(PATH)
     texts = pa.array(["alpha beta, gamma.", None, "delta alpha"])

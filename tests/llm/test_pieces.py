@@ -72,6 +72,16 @@ def test_edges_and_round_trip(spark):
     assert pieces.encode(df.limit(0), PATH).collect() == [] and pieces.decode(coded.limit(0), PATH).collect() == []
 
 
+def test_every_noncharacter(spark):
+    """No character is free to stand for a border."""
+    odd = "".join(map(chr, range(0xFDD0, 0xFDF0))) + " a\u2581\u2581b " + "".join(chr(0x10000 * k + 0xFFFF) for k in range(1, 17)) + "\u2581"
+    df = spark.createDataFrame([(i, odd * (i + 1)) for i in range(3)] + [(7, "\u2581"), (8, "plain text")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pieces.encode_and_decode(df, PATH).collect()}
+    assert len(out) == 5 and all(r["round_trip"] for r in out.values())
+    alone = pieces.encode(df.filter("doc_id = 8"), PATH).first()["ids"]
+    assert out[8]["ids"] == alone
+
+
 def test_whole_table_round_trip(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert pieces.encode_and_decode(df, PATH).filter("not round_trip").count() == 0

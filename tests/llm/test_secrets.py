@@ -77,6 +77,32 @@ def test_random_strings_are_found_and_known_forms_are_not():
         assert [k for _, k, _ in secrets.find(f"a {plain} b", RANKS, 1.9)[1] if k == 3] == [], plain
 
 
+#: Least share of random strings found, by alphabet and length.
+RECALL = {"lower": {14: 0.4, 16: 0.75, 20: 0.8, 24: 0.85, 40: 0.95}, "upper": {14: 0.6, 16: 0.9, 20: 0.95, 40: 0.97},
+          "letters": {12: 0.7, 14: 0.9, 16: 0.95, 20: 0.97, 40: 0.99}, "alnum": {12: 0.85, 14: 0.93, 16: 0.97, 20: 0.98, 40: 0.99},
+          "lower+digits": {14: 0.8, 16: 0.93, 20: 0.95, 40: 0.99}, "base64": {16: 0.8, 24: 0.95, 40: 0.98}}
+ALPHABETS = {"lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "letters": string.ascii_letters, "alnum": string.ascii_letters + string.digits,
+             "lower+digits": string.ascii_lowercase + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+
+
+def test_recall_by_alphabet_and_length():
+    rng = random.Random(11)
+    for name, least in RECALL.items():
+        for n, share in least.items():
+            runs = ["".join(rng.choices(ALPHABETS[name], k=n)) for _ in range(300)]
+            found = sum(bool(secrets.find(f"a {r} b", RANKS, 1.9)[1]) for r in runs)
+            assert found >= share * len(runs), (name, n, found / len(runs))
+
+
+def test_ordinary_runs_are_left_alone():
+    words = {w for t in pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pydict()["text"] for w in re.findall(r"[A-Za-z]{12,}", t)}
+    flagged = [w for w in words if secrets.find(w, RANKS, 1.9)[1]]
+    assert len(words) > 20_000 and len(flagged) <= 0.001 * len(words), flagged
+    plain = ["a/b/c/d/e/f/g/h/i/j", "usr/local/lib/python3/site-packages", "user12345678", "2024-01-15_12-30-00", "covid19-vaccine2021", "img_20240115_123045",
+             "well-known-and-often-used", "AbstractSingletonProxyFactoryBean", "________________", "==============", "en-US/docs/Web/API", "0123456789012345678901"]
+    assert [p for p in plain if any(k == 3 for _, k, _ in secrets.find(f"x {p} y", RANKS, 1.9)[1])] == []
+
+
 def test_redact_keeps_rows_and_clean_texts(spark):
     rows = [(i, t, "x") for i, (_, t) in enumerate(EDGE)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
