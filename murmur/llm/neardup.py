@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmur.llm.common import Labels, dense, ship, staged
 from murmur.llm.graph import connected_components
@@ -125,11 +126,11 @@ def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ok, y / np.sqrt((y * y).sum(axis=1))[:, None]
 
 
-_VISIT = "node long, copies long, label long, cell long, home boolean, embedding array<double>"
+_VISIT = "node long, copies long, label long, cell long, home boolean, embedding array<{}>"
 
 
-def _visits(indexes: dict[int, Index]):
-    """Every vector at its own cell (home) and at the further cells to visit."""
+def _visits(indexes: dict[int, Index], number: type):
+    """Every vector, as it came, at its own cell (home) and at the further cells to visit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,7 +138,7 @@ def _visits(indexes: dict[int, Index]):
                 ok, u = _unit(x)
                 if not len(ok):
                     continue
-                rows, size = rows[ok], u.shape[1]
+                rows, x, size = rows[ok], x[ok].astype(number), u.shape[1]
                 cells = indexes[size].cells(u) if size in indexes else [[0]] * len(rows)
                 count = np.fromiter(map(len, cells), np.int64, len(cells))
                 at = np.repeat(np.arange(len(rows)), count)
@@ -147,7 +148,7 @@ def _visits(indexes: dict[int, Index]):
                 for lo in range(0, len(at), 20_000):      # bounded batches
                     part = at[lo:lo + 20_000]
                     took = [b.column(k).take(pa.array(rows[part])) for k in range(3)]
-                    vec = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(part) + 1) * size, size, dtype=np.int32)), pa.array(u[part].ravel()))
+                    vec = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(part) + 1) * size, size, dtype=np.int32)), pa.array(x[part].ravel()))
                     yield pa.RecordBatch.from_arrays(
                         [took[0], took[1], took[2], pa.array(cell[lo:lo + 20_000]), pa.array(home[lo:lo + 20_000]), vec],
                         [f.split()[0] for f in _VISIT.split(", ")])
@@ -161,7 +162,7 @@ def _compare(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         node, copies = np.asarray(table["node"]), np.asarray(table["copies"])
         size = len(table["embedding"][0])
-        x = np.asarray(table["embedding"].combine_chunks().flatten()).reshape(-1, size)
+        x = _unit(np.asarray(table["embedding"].combine_chunks().flatten(), np.float64).reshape(-1, size))[1]
         h, p = np.flatnonzero(np.asarray(table["as_home"])), np.flatnonzero(~np.asarray(table["as_home"]))
         near = (x[p] @ x[h].T) >= threshold
         near &= node[p][:, None] != node[h][None, :]
@@ -183,8 +184,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target_recall:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     ship(spark)
+    # floats travel as floats; all arithmetic is in doubles
+    single = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    kind, number = ("float", np.float32) if single else ("double", np.float64)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-                          F.col("embedding").cast("array<double>").alias("embedding"))
+                          F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     usable = rows.filter("vec_id is not null and label is not null and size(embedding) > 0")
     nodes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     nodes = staged(nodes.select("node", "copies", "label", "embedding"), "vectors")
@@ -199,7 +203,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target_recall:
             centroids = int(min(256, max(1, round((largest / per_cell) ** 0.5))))
             indexes[u.shape[1]] = fit_index(u, centroids, threshold, target_recall)
 
-    visits = staged(nodes.mapInArrow(_visits(indexes), _VISIT).withColumn("size", F.size("embedding")), "visits")
+    visits = staged(nodes.mapInArrow(_visits(indexes, number), _VISIT.format(kind)).withColumn("size", F.size("embedding")), "visits")
     key = ["label", "size", "cell"]
     blocks = visits.groupBy(*key).agg(
         F.ceil(F.sum(F.col("home").cast("int")) / BLOCK).cast("int").alias("homes"),

@@ -101,6 +101,26 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+ORACLES["op6_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.r, a.vec_id AS u, b.vec_id AS v
+  FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT DISTINCT vec_id AS u, vec_id AS c FROM v
+  UNION
+  SELECT l.v, reach.c FROM reach JOIN links l ON l.u = reach.u),
+least AS (SELECT u, min(c) AS c FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(least.c, e.vec_id) AS component_id, coalesce(least.c = e.vec_id, true) AS kept
+FROM embeddings e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN least ON least.u = e.vec_id
+"""
+
 
 @query("pipeline")
 def pipeline(spark: SparkSession, d: str) -> DataFrame:

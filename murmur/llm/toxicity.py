@@ -1,6 +1,7 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-Training uses a bounded, documented sample of labelled rows (``Bounds``).  The ordinary
+Training uses a bounded, documented sample of labelled rows (``Bounds``); a text longer than
+``section`` characters enters it as sections of about that length, all of it.  The ordinary
 dictionary is trained by zstandard on windows of ordinary documents.  The toxic one
 holds, in front of the same ordinary bytes, the stretches of toxic documents whose byte
 n-grams are ``ratio`` times as frequent there as in ordinary documents; sharing the rest
@@ -19,6 +20,7 @@ rows are scored each; further columns are ignored by ``toxicity`` and kept by ``
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 
 from murmur.llm.common import ship
 
+_BLANK = re.compile(r"\s")
+
 
 @dataclass(frozen=True)
 class Bounds:
@@ -38,7 +42,7 @@ class Bounds:
 
     toxic_rows: int = 2000
     ordinary_rows: int = 6000
-    text_chars: int = 40_000        # longer texts train nothing (they are scored whole)
+    section: int = 40_000           # characters after which a training text goes on as a further row
     gram: int = 5
     least_share: float = 0.003      # of toxic documents that hold a stretch's n-gram
     ratio: float = 20.0
@@ -179,13 +183,38 @@ def fit(toxic: list[str], ordinary: list[str], b: Bounds = Bounds()) -> Model:
                  tuple(scale.tolist()), tuple(x.min(axis=0).tolist()), tuple(x.max(axis=0).tolist()), b.window, b.level)
 
 
+def sections(text: str | None, size: int) -> list[str]:
+    """The whole text in pieces of at least ``size`` characters (the last may be shorter), cut before a blank."""
+    text = text or ""
+    out, at = [], 0
+    while len(text) - at > size and (end := _next_blank(text, at + size)) >= 0:
+        out.append(text[at:end])
+        at = end
+    out.append(text[at:])
+    return out
+
+
+def _next_blank(text: str, at: int) -> int:
+    m = _BLANK.search(text, at)
+    return m.start() if m else -1
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, b: Bounds = Bounds()) -> Model:
-    """Fit on labelled documents that are not held out; the sample's ids are at most
-    ``toxic_rows + ordinary_rows``, taken in hash order."""
+    """Fit on labelled documents that are not held out; the sample's ids, and the texts or sections of them, are at
+    most ``toxic_rows + ordinary_rows``, taken in hash order."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts = sections(t, b.section)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())],
+                                                 ["doc_id", "part", "text"])
+
+    ship(docs.sparkSession)
     of_id = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("doc_id"))))
     texts: dict[int, list[str]] = {0: [], 1: []}
@@ -193,8 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, b: Bounds = Bounds()) -> Model:
         ids = of_id.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id")
         got = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .join(F.broadcast(ids), "doc_id")              # bounded by ``rows``
-               .filter(F.length("text") <= b.text_chars)
-               .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rows))
+               .mapInArrow(cut, "doc_id long, part int, text string")
+               .orderBy(F.xxhash64("doc_id", "part"), F.xxhash64("text")).limit(rows))
         texts[label] = [r["text"] for r in got.select("text").collect()]
     return fit(texts[1], texts[0], b)
 

@@ -64,3 +64,21 @@ def test_windows_cover_the_whole_line():
     line = toxicity._line("Some words of a longer text  with\nlines and averyveryveryveryveryveryveryverylongword at the end")
     for size in (1, 8, 48, 500):
         assert b"".join(toxicity.windows(line, size)) == line
+
+
+def test_long_labelled_texts_train_in_sections(spark):
+    """Toxic words that stand only in texts longer than a section are learnt."""
+    made = rows(160)
+    plain = [(i, t, 0) for i, t, bad in made if not bad]
+    filler = " ".join(t for _, t, _ in plain[:4])
+    long = [(1000 + i, (filler + " zzgrumpf blaxqor ") * 12, 1) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in plain + long] + [(5000, "kata zzgrumpf blaxqor loso"), (5001, plain[3][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in plain + long], "doc_id long, toxic int")
+    bounds = toxicity.Bounds(section=2_000)
+    assert all(len(t) > 2_000 for _, t, _ in long)
+    model = toxicity.train(docs, labels, bounds)
+    assert b"zgrumpf" in model.toxic and b"laxqor" in model.toxic
+    for size in (1, 7, 50, 10_000):
+        parts = toxicity.sections(long[0][1][:5000], size)
+        assert "".join(parts) == long[0][1][:5000] and all(len(p) >= size for p in parts[:-1])
+    assert toxicity.sections(None, 5) == [""] and toxicity.sections("x" * 99, 5) == ["x" * 99]
