@@ -18,24 +18,29 @@ the data work around the labeller is relational and distributed:
                          external labeller (exported as JSON lines)
 * ``annotate``           user hook: partitions -> ``mapInPandas(fn)`` with retries;
                          failures become reject rows, good rows are kept
+* ``Chain``              reasoning -> tagging -> aspects, every stage stored and resumable
 """
 
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur.functions import labels
 from murmur.functions.ontology import (ASPECTS, SENTIMENTS, TOPICS, normalize_aspect,
                                        normalize_sentiment, normalize_topic, py_strip)
+from murmur.sources.storage import exists
 
-RUN_KEY = ["comment_id", "video_id", "channel_id", "model_name", "run_seq"]
+#: One run of one model on one comment; the id alone identifies it, the others are carried along.
+RUN_ID = "inference_run_id"
+RUN_COLUMNS = ["comment_id", "video_id", "channel_id", "model_name", RUN_ID]
 
 
 # -- C2 pending work -------------------------------------------------------------
@@ -63,21 +68,25 @@ def _parsed(json_col: str) -> Column:
     return F.try_parse_json(F.col(json_col))
 
 
+def _require(df: DataFrame, *columns: str) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"replies need the columns {', '.join(missing)}")
+
+
 def aspect_names(reply: Column) -> Column:
     """Cleaned, de-duplicated (first occurrence, case-sensitive) aspect names of a
     parsed tagging reply.  A non-array ``aspect_names`` gives no names."""
     raw = F.try_variant_get(reply, "$.aspect_names", "array<variant>")
     strings = F.filter(raw, lambda x: labels.json_kind(x) == "string")
     cleaned = F.transform(strings, lambda x: py_strip(F.try_variant_get(x, "$", "string")))
-    return F.array_distinct(F.filter(cleaned, lambda x: x != F.lit("")))
+    return F.coalesce(F.array_distinct(F.filter(cleaned, lambda x: x != F.lit(""))), F.array().cast("array<string>"))
 
 
 def aspect_work_items(tagging: DataFrame, reply_col: str = "tagging_json", keep: tuple = ()) -> DataFrame:
     """One row per (run, position, aspect name) to send to the aspect stage."""
-    keys = [c for c in RUN_KEY if c in tagging.columns] + list(keep)
-    return tagging.select(*keys, F.posexplode(F.coalesce(aspect_names(_parsed(reply_col)),
-                                                         F.array().cast("array<string>")))
-                          .alias("pos", "aspect_name"))
+    _require(tagging, *RUN_COLUMNS, reply_col)
+    return tagging.select(*RUN_COLUMNS, *keep, F.posexplode(aspect_names(_parsed(reply_col))).alias("pos", "aspect_name"))
 
 
 # -- L3 prediction rows ---------------------------------------------------------------
@@ -87,54 +96,51 @@ def _label_text(v: Column, field: str) -> Column:
     return labels.json_string(labels.json_field(v, field))
 
 
-def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
-    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(r, on, "left").drop(*[f"_r_{k}" for k in keys])
-
-
-def normalized_aspects(items: DataFrame, replies: DataFrame, reply_col: str = "aspect_json") -> DataFrame:
-    """Work items + aspect replies -> per run an ordered array of normalised aspects."""
-    keys = [c for c in RUN_KEY if c in items.columns]
-    j = _null_safe_left(items, replies, keys + ["pos"])
-    v = F.coalesce(_parsed(reply_col), F.parse_json(F.lit("{}")))
-    asp_field = labels.json_field(v, "aspect")
+def _aspect(name: Column, reply: Column) -> Column:
+    """Normalised aspect of a requested name and its parsed reply (NULL where there is none)."""
+    v = F.coalesce(reply, F.parse_json(F.lit("{}")))
     # a falsy reply value falls back to the requested name; a truthy non-string is no label
-    aspect = F.when(labels.json_truthy(asp_field), _label_text(v, "aspect")).otherwise(F.col("aspect_name"))
+    aspect = F.when(labels.json_truthy(labels.json_field(v, "aspect")), _label_text(v, "aspect")).otherwise(name)
     evidence = py_strip(_label_text(v, "evidence"))
-    rows = j.select(*keys, "pos",
-                    _parsed(reply_col).isNull().alias("bad_reply"),
-                    F.struct(normalize_aspect(aspect).alias("aspect"),
-                             normalize_sentiment(_label_text(v, "sentiment")).alias("sentiment"),
-                             F.when(F.coalesce(evidence, F.lit("")) == "", F.lit(labels.NO_EVIDENCE))
-                             .otherwise(evidence).alias("evidence")).alias("a"))
-    return rows.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "a"))), lambda x: x.getField("a")).alias("aspects"),
-        F.max(F.col("bad_reply").cast("int")).cast("boolean").alias("aspect_error"))
+    return F.struct(normalize_aspect(aspect).alias("aspect"),
+                    normalize_sentiment(_label_text(v, "sentiment")).alias("sentiment"),
+                    F.when(F.coalesce(evidence, F.lit("")) == "", F.lit(labels.NO_EVIDENCE)).otherwise(evidence).alias("evidence"))
 
 
 def prediction_rows(tagging: DataFrame, aspect_replies: DataFrame,
                     reply_col: str = "tagging_json", aspect_col: str = "aspect_json") -> DataFrame:
-    """Insight rows (``ml.comment_insights`` columns + ``had_error``)."""
-    keys = [c for c in RUN_KEY if c in tagging.columns]
-    items = aspect_work_items(tagging, reply_col)
-    asp = normalized_aspects(items, aspect_replies, aspect_col)
-    v = F.coalesce(_parsed(reply_col), F.parse_json(F.lit("{}")))
-    t = tagging.select(
-        *keys, F.col(reply_col),
+    """Insight rows (``ml.comment_insights`` columns + ``had_error``).
+
+    ``tagging`` has ``RUN_COLUMNS``, ``inference_ts`` and the reply; ``aspect_replies`` has the run id, the
+    position of the work item and the reply.  The aspect replies are gathered per run (one row per
+    requested aspect) and joined once on ``inference_run_id``; every tagging reply is parsed once and gives its
+    aspect names in the row.  A run without id, and an aspect without reply, keep defaults and
+    ``had_error``; of several replies to one work item the smallest text counts.
+    """
+    _require(tagging, *RUN_COLUMNS, "inference_ts", reply_col)
+    _require(aspect_replies, RUN_ID, "pos", aspect_col)
+    by_run = (aspect_replies.where(F.col(RUN_ID).isNotNull()).groupBy(RUN_ID, "pos").agg(F.min(aspect_col).alias("reply"))
+              .groupBy(RUN_ID).agg(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "reply")).alias("replies")))
+    t = tagging.select(*RUN_COLUMNS, "inference_ts", _parsed(reply_col).alias("reply"))
+    t = t.withColumn("names", aspect_names(F.col("reply")))
+    j = t.join(by_run, RUN_ID, "left")
+    no_replies = F.array().cast("array<struct<pos:int,reply:string>>")
+
+    def of_item(name: Column, pos: Column) -> Column:
+        mine = F.filter(F.coalesce("replies", no_replies), lambda r: r.getField("pos") == pos)
+        return F.struct(name.alias("name"), F.try_parse_json(F.try_element_at(mine, F.lit(1)).getField("reply")).alias("reply"))
+
+    j = j.withColumn("items", F.transform("names", of_item))
+    v = F.coalesce("reply", F.parse_json(F.lit("{}")))
+    return j.select(
+        *RUN_COLUMNS, "inference_ts",
         normalize_sentiment(_label_text(v, "general_sentiment")).alias("general_sentiment"),
         normalize_topic(_label_text(v, "topic")).alias("topic"),
+        F.transform("items", lambda x: _aspect(x.getField("name"), x.getField("reply"))).cast(T.ArrayType(labels_struct())).alias("aspects"),
         labels.to_bool(labels.json_field(v, "purchase_intent")).alias("purchase_intent"),
         labels.to_bool(labels.json_field(v, "is_question")).alias("is_question"),
         labels.to_bool(labels.json_field(v, "competitor_mention")).alias("competitor_mention"),
-        _parsed(reply_col).isNull().alias("tag_error"))
-    out = _null_safe_left(t, asp, keys)
-    return out.select(
-        *keys, "general_sentiment", "topic",
-        F.coalesce("aspects", F.array().cast(T.ArrayType(labels_struct()))).alias("aspects"),
-        "purchase_intent", "is_question", "competitor_mention",
-        (F.col("tag_error") | F.coalesce(F.col("aspect_error"), F.lit(False))).alias("had_error"))
+        (F.col("reply").isNull() | F.exists("items", lambda x: x.getField("reply").isNull())).alias("had_error"))
 
 
 def labels_struct() -> T.StructType:
@@ -375,36 +381,44 @@ ASPECT_SYSTEM = (
     "from the comment, or the phrase " + labels.NO_ASPECT_PHRASE + " when the comment says nothing clear about it."
 )
 
+ASPECT_SYSTEM_FORCED = ASPECT_SYSTEM.replace(
+    ", ".join(SENTIMENTS), ", ".join(s for s in SENTIMENTS if s != "neutral")) + " Do not answer neutral: choose the dominant tone."
+
 
 def _msg(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def tagging_requests(pending: DataFrame, forced_choice: bool = False, stage: str = "single") -> DataFrame:
+def tagging_requests(pending: DataFrame, forced_choice: bool = False, stage: str = "single",
+                     keys: tuple[str, ...] = ("comment_id", "video_id", "channel_id")) -> DataFrame:
     """Chat messages per comment.  ``stage``: 'single' (one JSON call) or
     'reasoning' (first call of the two-step chain)."""
     system = F.lit(TAGGING_SYSTEM_FORCED if forced_choice else TAGGING_SYSTEM)
     prefix = REASONING_USER if stage == "reasoning" else JSON_USER
     msgs = F.array(_msg("system", system), _msg("user", F.concat(F.lit(prefix), F.col("text_clean"))))
-    return pending.select("comment_id", "video_id", "channel_id", msgs.alias("messages"))
+    return pending.select(*keys, msgs.alias("messages"))
 
 
-def tagging_requests_after_reasoning(pending_with_reasoning: DataFrame, forced_choice: bool = False) -> DataFrame:
+def tagging_requests_after_reasoning(pending_with_reasoning: DataFrame, forced_choice: bool = False,
+                                     keys: tuple[str, ...] = ("comment_id", "video_id", "channel_id")) -> DataFrame:
     """Second call of the chain: the reasoning reply is included as an assistant turn."""
     system = F.lit(TAGGING_SYSTEM_FORCED if forced_choice else TAGGING_SYSTEM)
     msgs = F.array(_msg("system", system),
                    _msg("user", F.concat(F.lit(REASONING_USER), F.col("text_clean"))),
                    _msg("assistant", F.col("reasoning")),
                    _msg("user", F.lit(JSON_AFTER_REASONING)))
-    return pending_with_reasoning.select("comment_id", "video_id", "channel_id", msgs.alias("messages"))
+    return pending_with_reasoning.select(*keys, msgs.alias("messages"))
 
 
-def aspect_requests(items: DataFrame, texts: DataFrame) -> DataFrame:
-    """Chat messages per (comment, aspect name) work item."""
-    j = items.join(texts.select("comment_id", "video_id", "text_clean"), ["comment_id", "video_id"])
+def _aspect_messages(forced_choice: bool) -> Column:
     user = F.concat(F.lit('Aspect: "'), F.col("aspect_name"), F.lit('"\n\nComment:\n'), F.col("text_clean"))
-    keys = [c for c in ("comment_id", "video_id", "run_seq", "pos", "aspect_name") if c in j.columns]
-    return j.select(*keys, F.array(_msg("system", F.lit(ASPECT_SYSTEM)), _msg("user", user)).alias("messages"))
+    return F.array(_msg("system", F.lit(ASPECT_SYSTEM_FORCED if forced_choice else ASPECT_SYSTEM)), _msg("user", user))
+
+
+def aspect_requests(items: DataFrame, texts: DataFrame, forced_choice: bool = False) -> DataFrame:
+    """Chat messages per (run, aspect name) work item."""
+    j = items.join(texts.select("comment_id", "video_id", "text_clean"), ["comment_id", "video_id"])
+    return j.select("comment_id", "video_id", RUN_ID, "pos", "aspect_name", _aspect_messages(forced_choice).alias("messages"))
 
 
 def export_requests(requests: DataFrame, path: str) -> None:
@@ -421,45 +435,110 @@ def messages_rows(requests: DataFrame, *keys: str) -> DataFrame:
 
 # -- L6 user annotator hook -------------------------------------------------------------
 
-ANNOTATION_OUT = T.StructType([
-    T.StructField("comment_id", T.StringType()),
-    T.StructField("reply_json", T.StringType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("attempts", T.IntegerType()),
-])
+def call(requests: DataFrame, fn: Callable, keys: list[str], input_col: str, attempts: int = 2, json_reply: bool = True) -> DataFrame:
+    """(keys..., reply, error, attempts): the caller's ``fn(input)`` over every row, batch by batch.
+
+    The partition is the unit of concurrency.  A call that raises, returns no text or, with ``json_reply``,
+    no JSON is repeated up to ``attempts`` times and then recorded with its error, so one bad row never loses the others.
+    """
+    src = requests.select(*keys, input_col)
+    out = T.StructType([*src.schema.fields[:-1], T.StructField("reply", T.StringType()), T.StructField("error", T.StringType()),
+                        T.StructField("attempts", T.IntegerType())])
+
+    def one(value):
+        error = None
+        for n in range(1, attempts + 1):
+            try:
+                reply = fn(value)
+                if not isinstance(reply, str):
+                    raise TypeError("the reply is no text")
+                if json_reply:
+                    json.loads(reply)
+                return reply, None, n
+            except Exception as e:  # recorded as a reject after the last attempt
+                error = f"{type(e).__name__}: {e}"
+        return None, error, attempts
+
+    def run(batches):
+        for pdf in batches:
+            done = pd.DataFrame([one(v) for v in pdf[input_col]], columns=["reply", "error", "attempts"], index=pdf.index)
+            yield pd.concat([pdf[keys], done], axis=1)
+
+    return src.mapInPandas(run, out)
 
 
 def annotate(requests: DataFrame, fn: Callable[[str], str], text_col: str = "text_clean",
              attempts: int = 2, partitions: int | None = None) -> DataFrame:
-    """Run a caller's labeller ``fn(text) -> JSON text`` over every row, batch by batch.
+    """One stage: ``fn(text) -> JSON text`` over every row; all other columns of ``requests`` are kept as keys.
 
-    The partition is the unit of concurrency; a reply that fails or is not
-    valid JSON is retried up to ``attempts`` times and then recorded with its
-    error, so one bad row never loses the others.  Split the result with
-    ``good = out.where(error IS NULL)`` / ``rejects = out.where(error IS NOT NULL)``.
+    Split the result with ``good = out.where(error IS NULL)`` / ``rejects = out.where(error IS NOT NULL)``.
     """
-    src = requests.select("comment_id", text_col)
-    if partitions:
-        src = src.repartition(partitions, "comment_id")
+    keys = [c for c in requests.columns if c != text_col]
+    src = requests.repartition(partitions) if partitions else requests
+    return call(src, fn, keys, text_col, attempts).withColumnRenamed("reply", "reply_json")
 
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for cid, text in zip(pdf["comment_id"], pdf[text_col]):
-                reply, err, n = None, None, 0
-                while n < attempts:
-                    n += 1
-                    try:
-                        r = fn(text)
-                        json.loads(r)
-                        reply, err = r, None
-                        break
-                    except Exception as e:  # recorded as a reject after the last attempt
-                        err = f"{type(e).__name__}: {e}"
-                out.append((cid, reply, err, n))
-            yield pd.DataFrame(out, columns=["comment_id", "reply_json", "error", "attempts"])
-
-    return src.mapInPandas(run, ANNOTATION_OUT)
+
+class Chain:
+    """The labeller as a chain of stages over pending comments: reasoning, tagging JSON, one JSON per aspect.
+
+    ``folder`` (shared storage) keeps what every stage has answered.  A stage asks only for what
+    has no answer there (anti-join on the run id and position) and writes in ``slices`` by hash of
+    the run id, each committed by itself: a stage that is killed repeats at most the slice it was
+    in, and the next run with the same folder goes on from there.  Failed requests are asked again then.
+
+    The functions take the chat messages (a list of {role, content}) and return text: ``reason`` free text,
+    ``tag`` and ``judge`` JSON.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, reason: Callable, tag: Callable, judge: Callable,
+                 model_name: str, run: str, attempts: int = 2, slices: int = 16, forced_choice: bool = False):
+        self.spark, self.folder, self.model_name, self.run_name = spark, folder, model_name, run
+        self.functions = {"reasoning": reason, "tagging": tag, "aspect": judge}
+        self.attempts, self.slices, self.forced_choice = attempts, slices, forced_choice
+
+    def runs(self, pending: DataFrame) -> DataFrame:
+        """One run per pending comment; its id is the run's name and a hash of the comment's keys."""
+        key = F.sha2(F.to_json(F.struct("comment_id", "video_id", "channel_id"), {"ignoreNullFields": "false"}), 256)
+        rows = pending.select("comment_id", "video_id", "channel_id", F.lit(self.model_name).alias("model_name"),
+                              F.concat(F.lit(f"{self.run_name}-"), F.substring(key, 1, 32)).alias(RUN_ID), "text_clean")
+        return rows.groupBy(*RUN_COLUMNS).agg(F.min("text_clean").alias("text_clean"))     # rows that repeat a comment are one run
+
+    def answered(self, stage: str) -> DataFrame:
+        """Everything ``stage`` has answered so far: run id, pos, reply, error, attempts, answered_at."""
+        schema = f"{RUN_ID} string, pos int, reply string, error string, attempts int, answered_at timestamp"
+        path = os.path.join(self.folder, stage)
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+    def good(self, stage: str) -> DataFrame:
+        return self.answered(stage).where("error is null")
+
+    def rejects(self, stage: str) -> DataFrame:
+        """The last failure of every request that has no answer."""
+        failed = self.answered(stage).where("error is not null").join(self.good(stage).select(RUN_ID, "pos"), [RUN_ID, "pos"], "left_anti")
+        return failed.groupBy(RUN_ID, "pos").agg(F.max_by(F.struct("error", "attempts"), F.struct("answered_at", "error")).alias("x")).select(RUN_ID, "pos", "x.*")
+
+    def _ask(self, stage: str, requests: DataFrame) -> None:
+        """Answers the requests (run id, pos, messages) that have no answer yet."""
+        todo = requests.join(self.good(stage).select(RUN_ID, "pos"), [RUN_ID, "pos"], "left_anti")
+        for s in range(self.slices):
+            part = todo.where(F.pmod(F.xxhash64(RUN_ID), F.lit(self.slices)) == s)
+            replies = call(part, self.functions[stage], [RUN_ID, "pos"], "messages", self.attempts, stage != "reasoning")
+            replies.withColumn("answered_at", F.current_timestamp()).write.parquet(os.path.join(self.folder, stage, f"{uuid.uuid4().hex}-{s}"))
+
+    def run(self, pending: DataFrame) -> DataFrame:
+        """All stages; the insight rows of the runs that got a tagging reply (see ``prediction_rows``)."""
+        runs = self.runs(pending)
+        first = tagging_requests(runs, self.forced_choice, "reasoning", keys=(RUN_ID,))
+        self._ask("reasoning", first.withColumn("pos", F.lit(0)))
+        thought = runs.join(self.good("reasoning").select(RUN_ID, F.col("reply").alias("reasoning")), RUN_ID)
+        second = tagging_requests_after_reasoning(thought, self.forced_choice, keys=(RUN_ID,))
+        self._ask("tagging", second.withColumn("pos", F.lit(0)))
+        tagging = runs.join(self.good("tagging").select(RUN_ID, F.col("reply").alias("tagging_json"), F.col("answered_at").alias("inference_ts")), RUN_ID)
+        items = aspect_work_items(tagging, keep=("text_clean",))
+        self._ask("aspect", items.select(RUN_ID, "pos", _aspect_messages(self.forced_choice).alias("messages")))
+        return prediction_rows(tagging, self.good("aspect").select(RUN_ID, "pos", F.col("reply").alias("aspect_json")))
 
 
 # -- K9-K11 label normalisation over every label string seen ---------------------------

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 
 def newest_first(df: DataFrame, ts_col: str, tie_breakers: Sequence[str]) -> list[Column]:
-    """``ts DESC NULLS LAST`` then the first available tie-breaker columns, descending."""
-    order = [F.col(ts_col).desc_nulls_last()]
-    order += [F.col(c).desc_nulls_last() for c in tie_breakers if c in df.columns]
-    return order
+    """``ts DESC NULLS LAST`` then the tie-breaker columns, descending; all of them must be there, as the
+    answer would depend on the order of the input without one."""
+    missing = [c for c in (ts_col, *tie_breakers) if c not in df.columns]
+    if missing:
+        raise ValueError(f"newest row of a key needs the columns {', '.join(missing)}")
+    return [F.col(c).desc_nulls_last() for c in (ts_col, *tie_breakers)]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:

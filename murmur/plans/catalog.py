@@ -203,7 +203,7 @@ def q_aspect_work_items(spark: SparkSession, d: str) -> DataFrame:
 @query("prediction_rows")
 def q_prediction_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = annotate.prediction_rows(fx.tagging_replies(spark, d), fx.aspect_replies(spark, d))
-    return rows.select(*annotate.RUN_KEY, "general_sentiment", "topic",
+    return rows.select(*annotate.RUN_COLUMNS, "inference_ts", "general_sentiment", "topic",
                        annotate.aspects_text(F.col("aspects")).alias("aspects_text"),
                        F.size("aspects").cast("bigint").alias("n_aspects"),
                        "purchase_intent", "is_question", "competitor_mention", "had_error")
@@ -235,7 +235,7 @@ def q_tagging_requests(spark: SparkSession, d: str) -> DataFrame:
 def q_aspect_requests(spark: SparkSession, d: str) -> DataFrame:
     items = annotate.aspect_work_items(fx.tagging_replies(spark, d))
     req = annotate.aspect_requests(items, fx.all_curated(spark, d))
-    return annotate.messages_rows(req, "comment_id", "video_id", "run_seq", "pos", "aspect_name")
+    return annotate.messages_rows(req, "comment_id", "video_id", "inference_run_id", "pos", "aspect_name")
 
 
 # -- documented analytics ----------------------------------------------------------------

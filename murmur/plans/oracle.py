@@ -59,8 +59,7 @@ SELECT 'v' || CAST(o_custkey % 22 AS VARCHAR) AS video_id,
        CAST(floor(o_totalprice / 10) AS BIGINT) AS like_count,
        CAST(o_orderkey % 500 AS BIGINT) AS comment_count,
        CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate - INTERVAL 7 DAY END AS published_at,
-       o_orderdate AS fetched_at,
-       o_orderkey AS snap_seq
+       o_orderdate AS fetched_at
 FROM orders
 WHERE o_custkey % 22 <> 19"""
 
@@ -84,8 +83,7 @@ SELECT 'c' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) A
        (event_type = 'click' OR event_id % 7 = 0) AS is_question,
        (event_type = 'error' OR event_id % 11 = 0) AS competitor_mention,
        ts AS inference_ts,
-       'r' || CAST(event_id AS VARCHAR) AS inference_run_id,
-       event_id AS run_seq
+       'r' || CAST(event_id AS VARCHAR) AS inference_run_id
 FROM events_k"""
 
 CTES["curated"] = f"""
@@ -161,20 +159,23 @@ FROM {source} s LEFT JOIN (
 CTES["latest_run"] = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id, comment_id
-                               ORDER BY inference_ts DESC NULLS LAST, run_seq DESC NULLS LAST) AS rn
+                               ORDER BY inference_ts DESC NULLS LAST, inference_run_id DESC NULLS LAST, model_name DESC NULLS LAST) AS rn
   FROM insights) WHERE rn = 1"""
 
 CTES["raw_titles"] = """
 SELECT video_id, channel_id, video_title, channel_title FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id, channel_id
-                               ORDER BY ingested_at DESC NULLS LAST, comment_id DESC NULLS LAST) AS rn
+                               ORDER BY ingested_at DESC NULLS LAST, comment_id DESC NULLS LAST,
+                               video_title DESC NULLS LAST, channel_title DESC NULLS LAST) AS rn
   FROM raw_comments) WHERE rn = 1"""
 
 CTES["stats_latest"] = """
 SELECT video_id, channel_id, video_title, channel_title, view_count, like_count, comment_count,
        published_at AS video_published_at FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id
-                               ORDER BY fetched_at DESC NULLS LAST, snap_seq DESC NULLS LAST) AS rn
+                               ORDER BY fetched_at DESC NULLS LAST, view_count DESC NULLS LAST, comment_count DESC NULLS LAST,
+                               like_count DESC NULLS LAST, published_at DESC NULLS LAST, channel_id DESC NULLS LAST,
+                               video_title DESC NULLS LAST, channel_title DESC NULLS LAST) AS rn
   FROM video_stats) WHERE rn = 1"""
 
 CTES["report"] = f"""
@@ -245,7 +246,7 @@ register("video_stats_latest", "SELECT * FROM stats_latest")
 CTES["latest_aspect_run"] = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id, comment_id
-                               ORDER BY inference_ts DESC NULLS LAST, run_seq DESC NULLS LAST) AS rn
+                               ORDER BY inference_ts DESC NULLS LAST, inference_run_id DESC NULLS LAST, model_name DESC NULLS LAST) AS rn
   FROM insights WHERE aspects IS NOT NULL AND len(aspects) > 0) WHERE rn = 1"""
 
 CTES["aspect_report"] = """
@@ -528,7 +529,7 @@ SELECT 'c' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) A
        'v' || CAST(user_id % 20 AS VARCHAR) AS video_id,
        'ch' || CAST(user_id % 20 % 7 AS VARCHAR) AS channel_id,
        'm' || CAST(event_id % 3 AS VARCHAR) AS model_name,
-       event_id AS run_seq, event_id, k,
+       'r' || CAST(event_id AS VARCHAR) AS inference_run_id, ts AS inference_ts, event_id, k,
        {_lst(SENTIMENTS + [None])}[event_id % 5 + 1] AS sent,
        {_lst(TOPICS + [None])}[k % 11 + 1] AS topic,
        list_transform(range(k % 4), lambda i: {_lst(ASPECTS)}[(event_id + i) % 19 + 1]) AS names,
@@ -540,13 +541,13 @@ FROM events_k"""
     alias_json = ("'[' || array_to_string(list_transform(names, lambda x, i: '\"' || "
                   f"{_lst(ALIAS_WORDS)}[(event_id + i - 1) % {len(ALIAS_WORDS)} + 1] || '\"'), ', ') || ']'")
     CTES["tag_replies"] = f"""
-SELECT comment_id, video_id, channel_id, model_name, run_seq, k,
+SELECT comment_id, video_id, channel_id, model_name, inference_run_id, inference_ts, event_id, k,
        {tagging_reply_sql(names_json, alias_json, 'names[1]')} AS tagging_json
 FROM tag_base"""
     CTES["tag_parsed"] = """
 SELECT *, CASE WHEN json_valid(tagging_json) THEN tagging_json ELSE '{}' END AS j FROM tag_replies"""
     CTES["work_items"] = """
-SELECT comment_id, video_id, channel_id, model_name, run_seq, k,
+SELECT comment_id, video_id, channel_id, model_name, inference_run_id, event_id, k,
        unnest(range(len(d))) AS pos, unnest(d) AS aspect_name
 FROM (SELECT *, list_filter(nb, lambda x, i: list_position(nb, x) = i) AS d
       FROM (SELECT *, list_filter(list_transform(list_filter(arr, lambda x: json_type(x) = 'VARCHAR'),
@@ -556,15 +557,15 @@ FROM (SELECT *, list_filter(nb, lambda x, i: list_position(nb, x) = i) AS d
                                  THEN json_extract(j, '$.aspect_names[*]') ELSE CAST([] AS JSON[]) END AS arr
                   FROM tag_parsed)))"""
     CTES["asp_replies"] = f"""
-SELECT comment_id, video_id, channel_id, model_name, run_seq, pos, aspect_name,
+SELECT inference_run_id, pos, aspect_name,
        {aspect_reply_sql()} AS aspect_json
-FROM (SELECT *, run_seq AS event_id, {_lst(SENTIMENTS)}[(k + pos) % 4 + 1] AS asent,
-             'e' || CAST(run_seq AS VARCHAR) || '.' || CAST(pos AS VARCHAR) AS ev
+FROM (SELECT *, {_lst(SENTIMENTS)}[(k + pos) % 4 + 1] AS asent,
+             'e' || CAST(event_id AS VARCHAR) || '.' || CAST(pos AS VARCHAR) AS ev
       FROM work_items)"""
     aj = "aj"
     ev = f"trim({jstr(aj, 'evidence')})"
     CTES["asp_norm"] = f"""
-SELECT comment_id, video_id, channel_id, model_name, run_seq, pos, bad,
+SELECT inference_run_id, pos, bad,
        {norm_aspect(f"CASE WHEN {jtruthy(aj, 'aspect')} THEN {jstr(aj, 'aspect')} ELSE aspect_name END")} AS aspect,
        {norm_sentiment(jstr(aj, 'sentiment'))} AS sentiment,
        CASE WHEN coalesce({ev}, '') = '' THEN '(alıntı yok)' ELSE {ev} END AS evidence
@@ -572,17 +573,17 @@ FROM (SELECT *, CASE WHEN json_valid(aspect_json) THEN aspect_json ELSE '{{}}' E
              aspect_json IS NULL OR NOT json_valid(aspect_json) AS bad
       FROM asp_replies)"""
     CTES["asp_agg"] = """
-SELECT comment_id, video_id, channel_id, model_name, run_seq,
+SELECT inference_run_id,
        string_agg(aspect || '|' || sentiment || '|' || evidence, ';' ORDER BY pos) AS aspects_text,
        count(*) AS n_aspects, bool_or(bad) AS aspect_error
 FROM asp_norm GROUP BY ALL"""
 
     register("aspect_work_items", """
-SELECT comment_id, video_id, channel_id, model_name, run_seq, CAST(pos AS INTEGER) AS pos, aspect_name
+SELECT comment_id, video_id, channel_id, model_name, inference_run_id, CAST(pos AS INTEGER) AS pos, aspect_name
 FROM work_items""")
 
     register("prediction_rows", f"""
-SELECT t.comment_id, t.video_id, t.channel_id, t.model_name, t.run_seq,
+SELECT t.comment_id, t.video_id, t.channel_id, t.model_name, t.inference_ts, t.inference_run_id,
        {norm_sentiment(jstr('t.j', 'general_sentiment'))} AS general_sentiment,
        {norm_topic(jstr('t.j', 'topic'))} AS topic,
        COALESCE(a.aspects_text, '') AS aspects_text, COALESCE(a.n_aspects, 0) AS n_aspects,
@@ -590,9 +591,7 @@ SELECT t.comment_id, t.video_id, t.channel_id, t.model_name, t.run_seq,
        {jbool('t.j', 'is_question')} AS is_question,
        {jbool('t.j', 'competitor_mention')} AS competitor_mention,
        (NOT json_valid(t.tagging_json)) OR COALESCE(a.aspect_error, false) AS had_error
-FROM tag_parsed t LEFT JOIN asp_agg a
-  ON t.comment_id = a.comment_id AND t.video_id = a.video_id AND t.channel_id = a.channel_id
- AND t.model_name = a.model_name AND t.run_seq = a.run_seq""")
+FROM tag_parsed t LEFT JOIN asp_agg a ON t.inference_run_id = a.inference_run_id""")
 
     labels_body = f"""
 SELECT kind, raw_value, count(*) AS n FROM (
@@ -686,13 +685,13 @@ UNION ALL
 SELECT comment_id, video_id, channel_id, CAST(1 AS INTEGER), 'user', {q(an.JSON_USER)} || text_clean FROM pending_m0""")
 
     CTES["asp_req"] = """
-SELECT w.comment_id, w.video_id, w.run_seq, CAST(w.pos AS INTEGER) AS pos, w.aspect_name, c.text_clean
+SELECT w.comment_id, w.video_id, w.inference_run_id, CAST(w.pos AS INTEGER) AS pos, w.aspect_name, c.text_clean
 FROM work_items w JOIN all_curated c ON w.comment_id = c.comment_id AND w.video_id = c.video_id"""
     register("aspect_requests", f"""
-SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(0 AS INTEGER) AS turn, 'system' AS role,
+SELECT comment_id, video_id, inference_run_id, pos, aspect_name, CAST(0 AS INTEGER) AS turn, 'system' AS role,
        {q(an.ASPECT_SYSTEM)} AS content FROM asp_req
 UNION ALL
-SELECT comment_id, video_id, run_seq, pos, aspect_name, CAST(1 AS INTEGER), 'user',
+SELECT comment_id, video_id, inference_run_id, pos, aspect_name, CAST(1 AS INTEGER), 'user',
        'Aspect: "' || aspect_name || '"' || chr(10) || chr(10) || 'Comment:' || chr(10) || text_clean FROM asp_req""")
 
     register("ngram_counts", """

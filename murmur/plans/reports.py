@@ -13,9 +13,10 @@ and the curated join is keyed on those two columns plus channel equality
 (which the optimizer folds into the join keys); with
 ``spark.sql.requireAllClusterKeysForCoPartition=false`` (a session default
 here) the join reuses the window's partitioning, so the insights side is
-shuffled once for both operators.  Title and stats sides are
-reduced to one row per video before they meet the comments; AQE broadcasts
-them only when their measured size is under the broadcast threshold.
+shuffled once for both operators.  Titles and stats are
+merged to one row per (video, channel) before they meet the comments in one join; AQE
+broadcasts that side only when its measured size is under the broadcast threshold, and splits
+hot videos where it is not.
 """
 
 from __future__ import annotations
@@ -26,15 +27,16 @@ from pyspark.sql import functions as F
 from murmur.functions import labels
 from murmur.operators.latest import latest_per_key, newest_first
 
-INSIGHT_TIES = ("run_seq", "inference_run_id")
-RAW_TIES = ("comment_id",)
-STATS_TIES = ("snap_seq",)
+# Columns of the stored tables that decide between rows of one time.  Rows that agree in all of them
+# give the same answer.  Counters only grow, so the larger ones are the later snapshot.
+INSIGHT_TIES = ("inference_run_id", "model_name")
+RAW_TIES = ("comment_id", "video_title", "channel_title")
+STATS_TIES = ("view_count", "comment_count", "like_count", "published_at", "channel_id", "video_title", "channel_title")
 
 
 def raw_titles_latest(raw: DataFrame) -> DataFrame:
     """(video_id, channel_id) -> titles of the newest raw row (even when those are NULL)."""
-    cols = raw.select("video_id", "channel_id", "video_title", "channel_title", "ingested_at",
-                      *[c for c in RAW_TIES if c in raw.columns])
+    cols = raw.select("video_id", "channel_id", "video_title", "channel_title", "ingested_at", "comment_id")
     return latest_per_key(cols, ["video_id", "channel_id"],
                           newest_first(cols, "ingested_at", RAW_TIES)
                           ).select("video_id", "channel_id", "video_title", "channel_title")
@@ -42,13 +44,26 @@ def raw_titles_latest(raw: DataFrame) -> DataFrame:
 
 def video_stats_latest(stats: DataFrame) -> DataFrame:
     """Newest snapshot per ``video_id``; the partition ignores ``channel_id``."""
-    ties = [c for c in STATS_TIES if c in stats.columns]
     cols = stats.select("video_id", "channel_id", "video_title", "channel_title", "view_count",
-                        "like_count", "comment_count", F.col("published_at").alias("video_published_at"),
-                        "fetched_at", *ties)
-    return latest_per_key(cols, ["video_id"], newest_first(cols, "fetched_at", ties)).select(
+                        "like_count", "comment_count", "published_at", "fetched_at")
+    return latest_per_key(cols, ["video_id"], newest_first(cols, "fetched_at", STATS_TIES)).select(
         "video_id", "channel_id", "video_title", "channel_title", "view_count", "like_count",
-        "comment_count", "video_published_at")
+        "comment_count", F.col("published_at").alias("video_published_at"))
+
+
+def video_dimension(raw: DataFrame, stats: DataFrame) -> DataFrame:
+    """One row per (video, channel): newest raw titles (``r_``) and newest statistics (``s_``).
+
+    Both sides are small before they meet, so that the comments are joined once; the exchange of that
+    one join lies right below it, where Spark can split a video that holds very many comments.
+    """
+    r = raw_titles_latest(raw).select(
+        "video_id", "channel_id", F.col("video_title").alias("r_video_title"), F.col("channel_title").alias("r_channel_title"))
+    s = video_stats_latest(stats).select(
+        "video_id", "channel_id", F.col("video_title").alias("s_video_title"), F.col("channel_title").alias("s_channel_title"),
+        "view_count", F.col("like_count").alias("video_like_count"), F.col("comment_count").alias("video_comment_count"),
+        "video_published_at")
+    return r.join(s, ["video_id", "channel_id"], "full_outer")
 
 
 def latest_runs(insights: DataFrame, require_aspects: bool = False) -> DataFrame:
@@ -72,23 +87,13 @@ def comment_insights_report(insights: DataFrame, curated: DataFrame, raw: DataFr
                             stats: DataFrame) -> DataFrame:
     l = latest_runs(insights.select(
         "comment_id", "video_id", "channel_id", "model_name", "general_sentiment", "topic",
-        "purchase_intent", "is_question", "competitor_mention", "inference_ts",
-        *[c for c in INSIGHT_TIES if c in insights.columns]))
+        "purchase_intent", "is_question", "competitor_mention", "inference_ts", "inference_run_id"))
     c = curated.select(
         "comment_id", "video_id", F.col("channel_id").alias("c_channel_id"), "text_clean", "is_reply",
         "author_channel_id", F.col("like_count").alias("comment_like_count"))
-    r = raw_titles_latest(raw).select(
-        "video_id", "channel_id", F.col("video_title").alias("r_video_title"),
-        F.col("channel_title").alias("r_channel_title"))
-    vs = video_stats_latest(stats).select(
-        "video_id", "channel_id", F.col("video_title").alias("s_video_title"),
-        F.col("channel_title").alias("s_channel_title"), "view_count",
-        F.col("like_count").alias("video_like_count"),
-        F.col("comment_count").alias("video_comment_count"), "video_published_at")
     j = (l.join(c, ["video_id", "comment_id"], "inner")
          .where(F.col("channel_id") == F.col("c_channel_id"))
-         .join(r, ["video_id", "channel_id"], "left")
-         .join(vs, ["video_id", "channel_id"], "left"))
+         .join(video_dimension(raw, stats), ["video_id", "channel_id"], "left"))
     author, channel = F.col("author_channel_id"), F.col("c_channel_id")
     return j.select(
         "comment_id", "video_id", "channel_id", "model_name", "general_sentiment", "topic",
@@ -115,8 +120,7 @@ def aspect_sentiment_report(insights: DataFrame, stats: DataFrame) -> DataFrame:
     """Latest run with a non-empty aspect list, one row per aspect (inner unnest)."""
     l = latest_runs(insights.select(
         "comment_id", "video_id", "channel_id", "model_name", "general_sentiment", "topic",
-        "aspects", "inference_ts", *[c for c in INSIGHT_TIES if c in insights.columns]),
-        require_aspects=True)
+        "aspects", "inference_ts", "inference_run_id"), require_aspects=True)
     vs = video_stats_latest(stats).select(
         "video_id", "channel_id", F.col("video_title").alias("s_video_title"),
         F.col("channel_title").alias("s_channel_title"))

@@ -55,11 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is given by the session configuration and must be
-    on shared storage.  Only when it is unset (tests, local runs) do we pick a
-    fresh scratch folder ourselves.
+    on shared storage.  Only when it is unset in a local session (tests) do we pick a
+    fresh scratch folder ourselves; a cluster without the setting is an error, as executors
+    do not see the driver's folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not fallback and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = fallback or tempfile.mkdtemp(prefix="murmur-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -85,7 +85,7 @@ def raw_comments(spark: SparkSession, sf_dir: str, keep_source_keys: bool = Fals
 # -- raw.video_stats from orders ----------------------------------------------
 
 def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots; ``snap_seq`` (o_orderkey) breaks ties of ``fetched_at``."""
+    """Snapshots of a video, one per order."""
     o = _read(spark, sf_dir, "orders").where(F.col("o_custkey") % 22 != 19)
     v = F.col("o_custkey") % 22
     fetched = F.col("o_orderdate").cast("timestamp")
@@ -100,9 +100,8 @@ def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderkey") % 500).alias("comment_count"),
         F.when(F.col("o_orderkey") % 4 != 0, fetched - F.expr("INTERVAL 7 DAYS")).alias("published_at"),
         fetched.alias("fetched_at"),
-        F.col("o_orderkey").alias("snap_seq"),
     )
-    return _conform(out, schemas.VIDEO_STATS, "snap_seq")
+    return _conform(out, schemas.VIDEO_STATS)
 
 
 # -- ml.comment_insights from events ------------------------------------------
@@ -119,7 +118,7 @@ def _aspect_names(k: Column) -> Column:
 
 
 def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many runs per comment; ``run_seq`` (event_id) breaks ties of ``inference_ts``."""
+    """Many runs per comment, each with a run id of its own."""
     e = _read(spark, sf_dir, "events")
     k = _event_k()
     v = F.col("user_id") % 20
@@ -143,9 +142,8 @@ def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("event_type") == "error") | (eid % 11 == 0)).alias("competitor_mention"),
         F.col("ts").cast("timestamp").alias("inference_ts"),
         F.concat(F.lit("r"), _s(eid)).alias("inference_run_id"),
-        eid.alias("run_seq"),
     )
-    return _conform(out, schemas.COMMENT_INSIGHTS, "run_seq")
+    return _conform(out, schemas.COMMENT_INSIGHTS)
 
 
 # -- core.comments_curated ----------------------------------------------------
@@ -281,7 +279,8 @@ def _reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("v"), _s(v)).alias("video_id"),
         F.concat(F.lit("ch"), _s(v % 7)).alias("channel_id"),
         F.concat(F.lit("m"), _s(eid % 3)).alias("model_name"),
-        eid.alias("run_seq"), eid.alias("event_id"), k.alias("k"),
+        F.concat(F.lit("r"), _s(eid)).alias("inference_run_id"), F.col("ts").cast("timestamp").alias("inference_ts"),
+        eid.alias("event_id"), k.alias("k"),
         _pick(SENTIMENTS + [None], eid % 5).alias("sent"),
         _pick(TOPICS + [None], k % 11).alias("topic"),
         _aspect_names(k).alias("names"),
@@ -299,19 +298,18 @@ def tagging_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
                     f"element_at({alias}, cast((event_id + i) % {len(ALIAS_WORDS)} + 1 as int)), '\"')), ', '), ']')"),
         first="try_element_at(names, 1)")
     return _reply_base(spark, sf_dir).select(
-        "comment_id", "video_id", "channel_id", "model_name", "run_seq", "k",
+        "comment_id", "video_id", "channel_id", "model_name", "inference_run_id", "inference_ts", "event_id", "k",
         F.expr(sql).alias("tagging_json"))
 
 
 def aspect_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One aspect reply per work item derived from the tagging replies."""
     from murmur.operators.annotate import aspect_work_items
-    j = aspect_work_items(tagging_replies(spark, sf_dir), keep=("k",)).withColumn("event_id", F.col("run_seq"))
+    j = aspect_work_items(tagging_replies(spark, sf_dir), keep=("k", "event_id"))
     j = j.withColumn("asent", F.element_at(F.array(*[F.lit(s) for s in SENTIMENTS]),
                                            ((F.col("k") + F.col("pos")) % 4 + 1).cast("int")))
     j = j.withColumn("ev", F.concat(F.lit("e"), _s(F.col("event_id")), F.lit("."), _s(F.col("pos"))))
-    return j.select("comment_id", "video_id", "channel_id", "model_name", "run_seq", "pos",
-                    F.expr(aspect_reply_sql()).alias("aspect_json"))
+    return j.select("inference_run_id", "pos", F.expr(aspect_reply_sql()).alias("aspect_json"))
 
 
 def _iso(c: Column) -> Column:

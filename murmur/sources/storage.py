@@ -68,7 +68,7 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
     """Create every missing table empty (idempotent; existing data is untouched)."""
     for table in schemas.TABLES:
         path = table_path(root, table)
-        if not _exists(spark, path):
+        if not exists(spark, path):
             reset(spark, root, table)
 
 
@@ -85,7 +85,51 @@ def register_views(spark: SparkSession, root: str) -> None:
                                     ).createOrReplaceTempView("ml_aspect_sentiment_report")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+# -- bucketed tables for the anti-joins on comment_id -------------------------------------
+
+BUCKETED = ("core.comments_curated", "ml.comment_insights")
+
+
+def bucketed_name(table: str) -> str:
+    return "murmur_bucketed_" + table.replace(".", "_")
+
+
+def ensure_bucketed(spark: SparkSession, root: str, buckets: int = 256) -> None:
+    """Declare the curated and the insight table under ``root`` as tables bucketed and sorted by
+    ``comment_id`` (idempotent; files of earlier sessions are found again).
+
+    A lookup by comment id (pending curation, pending inference) then joins them as they lie:
+    only the new side is shuffled, into ``buckets`` partitions, however large the stored side has grown.
+    """
+    for table in BUCKETED:
+        name = bucketed_name(table)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.TABLES[table].fields)
+        by, path = PARTITIONING[table], f"{table_path(root, table)}_bucketed"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                  + (f"PARTITIONED BY ({', '.join(by)}) " if by else "")
+                  + f"CLUSTERED BY (comment_id) SORTED BY (comment_id) INTO {buckets} BUCKETS "
+                  + f"LOCATION '{path}'")
+        if by and exists(spark, path):
+            spark.catalog.recoverPartitions(name)
+
+
+def append_bucketed(df: DataFrame, table: str) -> None:
+    """Append rows to a table of ``ensure_bucketed``; rows are dealt by bucket first, so that a task
+    writes whole buckets instead of a file for each."""
+    spark = df.sparkSession
+    name = bucketed_name(table)
+    buckets = int(next(r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r["col_name"] == "Num Buckets"))
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in schemas.TABLES[table].fields]
+    rows = df.select(*columns).select(*spark.table(name).columns)
+    rows.repartition(buckets, "comment_id").write.insertInto(name)
+
+
+def read_bucketed(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(bucketed_name(table)).select(*schemas.TABLES[table].fieldNames())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -15,43 +15,57 @@ Every micro-batch writes to its own ``batch_id=N`` folder with overwrite and
 leaves that folder out when it looks up what is done already, so a batch
 retried after a failure replaces its own output: it neither loses nor repeats
 rows.  Use ``trigger(availableNow=True)`` for scheduled catch-up runs.
+
+A batch's rows lie in ``bucket=K`` folders by the hash of ``comment_id`` (insights also by ``model_name``).
+The lookup reads only the buckets that the batch's own comments fall into, so a small batch
+does not read the whole sink; the buckets are as many at any size, and their list is all that the
+driver sees.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import schemas
 from murmur.operators import annotate, curate, langid
+from murmur.sources.storage import exists
+
+
+BUCKETS = 256
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from murmur.sources.storage import _exists as exists
-    return exists(spark, path)
+def bucket(comment_id) -> Column:
+    return F.pmod(F.xxhash64(comment_id), F.lit(BUCKETS)).cast("int")
 
 
-def _done(spark: SparkSession, out_dir: str, schema, batch_id: int) -> DataFrame:
-    """Key columns of what earlier batches wrote (``schema``: a DDL string of those columns)."""
-    if not _exists(spark, out_dir):
+def done(batch: DataFrame, out_dir: str, schema: str, batch_id: int, where: Column | None = None) -> DataFrame:
+    """Key columns of what other batches wrote into the buckets of ``batch`` (``schema``: a DDL string
+    of those columns)."""
+    spark = batch.sparkSession
+    if not exists(spark, out_dir):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(f"{schema}, batch_id long").parquet(out_dir)
-    return rows.where(F.col("batch_id") != batch_id).drop("batch_id")
+    own = [r[0] for r in batch.where(F.col("comment_id").isNotNull()).select(bucket("comment_id")).distinct().collect()]
+    rows = spark.read.schema(f"{schema}, batch_id long, bucket int").parquet(out_dir)
+    rows = rows.where(F.col("bucket").isin(own) & (F.col("batch_id") != batch_id))
+    return (rows if where is None else rows.where(where)).drop("batch_id", "bucket")
 
 
-def batch_writer(out_dir: str, build):
+def batch_writer(out_dir: str, build, *partitions: str):
     """``foreachBatch`` function: ``build(batch, batch_id)`` replaces the batch's own folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        build(batch, batch_id).write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}"))
+        rows = build(batch, batch_id).withColumn("bucket", bucket("comment_id"))
+        # one file a bucket, not one a bucket and task
+        (rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*partitions, "bucket").parquet(os.path.join(out_dir, f"batch_id={batch_id}")))
     return write
 
 
 def curate_batch_writer(spark: SparkSession, out_dir: str, language_model: langid.Model | None = None):
     def build(batch: DataFrame, batch_id: int) -> DataFrame:
-        done = _done(spark, out_dir, "comment_id string", batch_id)
-        return curate.curate(curate.pending_curation(batch, done), language_model)
+        return curate.curate(curate.pending_curation(batch, done(batch, out_dir, "comment_id string", batch_id)), language_model)
     return batch_writer(out_dir, build)
 
 
@@ -67,9 +81,9 @@ def curate_stream(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: s
 
 def annotate_batch_writer(spark: SparkSession, insights_dir: str, model_name: str = "lexicon"):
     def build(batch: DataFrame, batch_id: int) -> DataFrame:
-        seen = _done(spark, insights_dir, "comment_id string, model_name string", batch_id)
+        seen = done(batch, insights_dir, "comment_id string, model_name string", batch_id, F.col("model_name") == model_name)
         return annotate.lexicon_insight_rows(annotate.pending_inference(batch, seen, model_name), model_name)
-    return batch_writer(insights_dir, build)
+    return batch_writer(insights_dir, build, "model_name")
 
 
 def annotate_stream(spark: SparkSession, curated_dir: str, insights_dir: str, checkpoint: str,

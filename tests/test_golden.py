@@ -122,20 +122,97 @@ def test_comment_type_and_intent_golden(spark):
     assert [r.i for r in out] == [r.want for r in out]
 
 
+def _tagging(spark, rows):
+    return spark.createDataFrame([(c, v, "ch", "m", r, None, j) for c, v, r, j in rows],
+                                 "comment_id string, video_id string, channel_id string, model_name string, inference_run_id string, inference_ts timestamp, tagging_json string")
+
+
+def test_predictions_join_once_on_the_run_id(spark):
+    names = '{"aspect_names": ["battery", "wifi", "price"]}'
+    tag = _tagging(spark, [("c1", "v", "r1", names), ("c1", "v", "r2", names), ("c2", "v", None, names), ("c3", "v", "r3", "{}")])
+    replies = spark.createDataFrame([("r1", 0, '{"sentiment":"positive"}'), ("r1", 1, '{"sentiment":"mixed","aspect":"audio"}'), ("r1", 2, "{}"), ("r1", 2, "{}"),
+                                     ("r2", 2, '{"sentiment":"negative","evidence":" x "}'), ("r2", 0, "{bad"), (None, 0, "{}"), ("r9", 0, "{}")],
+                                    "inference_run_id string, pos long, aspect_json string")
+    df = annotate.prediction_rows(tag, replies)
+    got = {r.inference_run_id: r for r in df.collect()}
+    assert [(a.aspect, a.sentiment) for a in got["r1"].aspects] == [("battery", "positive"), ("audio", "mixed"), ("price", "neutral")] and not got["r1"].had_error
+    assert [(a.aspect, a.sentiment, a.evidence) for a in got["r2"].aspects][2] == ("price", "negative", "x") and got["r2"].had_error
+    assert len(got[None].aspects) == 3 and got[None].had_error and got["r3"].aspects == [] and not got["r3"].had_error
+    assert annotate.prediction_rows(tag, replies)._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    assert {"inference_ts", "inference_run_id", "model_name"} <= set(df.columns)
+
+
+def test_missing_key_columns_raise(spark):
+    from murmur.plans import reports
+    tag = _tagging(spark, [("c1", "v", "r1", "{}")])
+    replies = spark.createDataFrame([], "inference_run_id string, pos int, aspect_json string")
+    with pytest.raises(ValueError, match="inference_run_id"):
+        annotate.prediction_rows(tag.drop("inference_run_id"), replies)
+    with pytest.raises(ValueError, match="pos"):
+        annotate.prediction_rows(tag, replies.drop("pos"))
+    with pytest.raises(ValueError, match="inference_run_id"):
+        annotate.aspect_work_items(tag.drop("inference_run_id"))
+    with pytest.raises(ValueError, match="fetched_at"):
+        reports.newest_first(tag, "fetched_at", ())
+
+
+def test_tied_snapshots_give_one_answer_in_any_order(spark, scratch):
+    from murmur.plans import reports
+    from murmur.sources import storage
+    import datetime as dt
+    ts = dt.datetime(2024, 5, 1)
+    rows = [("v", "ch", t, "C", n, n // 2, 3, None, ts) for t, n in (("a", 10), ("b", 12), ("c", 12), (None, 12))]
+    schema = "video_id string, channel_id string, video_title string, channel_title string, view_count long, like_count long, comment_count long, published_at timestamp, fetched_at timestamp"
+    seen = set()
+    for i, order in enumerate((rows, rows[::-1], rows[2:] + rows[:2])):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        seen.add(tuple(reports.video_stats_latest(df).collect()[0]))
+        root = f"{scratch}/{i}"
+        storage.ensure_tables(spark, root)
+        for r in order:
+            storage.append(spark.createDataFrame([r], schema), root, "raw.video_stats")
+        seen.add(tuple(reports.video_stats_latest(storage.read(spark, root, "raw.video_stats")).collect()[0]))
+    assert len(seen) == 1 and list(seen)[0][2] == "c"
+
+
+def test_forced_choice_of_an_aspect_does_not_offer_neutral(spark):
+    items = spark.createDataFrame([("c1", "v", "r1", 0, "battery")], "comment_id string, video_id string, inference_run_id string, pos int, aspect_name string")
+    texts = spark.createDataFrame([("c1", "v", "iyi")], "comment_id string, video_id string, text_clean string")
+    system = {f: annotate.aspect_requests(items, texts, f).first().messages[0].content for f in (False, True)}
+    assert "(one of: positive, negative, mixed)" in system[True] and "Do not answer neutral" in system[True]
+    assert "neutral" in system[False] and "Do not answer neutral" not in system[False]
+
+
+def test_pending_inference_of_one_video_and_first_rows(spark):
+    cur = spark.createDataFrame([(f"c{i}", f"v{i % 3}", "ch", "" if i == 4 else "x") for i in range(9)], "comment_id string, video_id string, channel_id string, text_clean string")
+    done = spark.createDataFrame([("c0", "m0"), ("c1", "m1")], "comment_id string, model_name string")
+    got = lambda **kw: [(r.video_id, r.comment_id) for r in annotate.pending_inference(cur, done, "m0", **kw).collect()]
+    assert sorted(got(video_id="v1")) == [("v1", "c1"), ("v1", "c7")]
+    assert got(limit=3) == [("v0", "c3"), ("v0", "c6"), ("v1", "c1")]
+    assert len(got(limit=0)) == 7
+
+
+def test_pending_curation_takes_the_oldest_rows(spark):
+    from murmur.operators import curate
+    raw = spark.createDataFrame([(i, "v", "ch", "t", None, None, 0, n) for i, n in (("b", 2), ("a", 2), ("c", 1), ("d", None), ("e", 3))],
+                                "comment_id string, video_id string, channel_id string, text_original string, parent_id string, author_channel_id string, like_count long, ingested_at long")
+    assert [r.comment_id for r in curate.pending_curation(raw, raw.where("comment_id = 'e'"), limit=3).collect()] == ["c", "a", "b"]
+
+
 def test_aspect_name_preparation_and_no_dedup_after_normalisation(spark):
     reply = json.dumps({"aspect_names": ["battery", " battery ", "Battery", "", 5, "wifi", "bluetooth"]})
-    tag = spark.createDataFrame([("c1", reply)], "comment_id string, tagging_json string")
+    tag = _tagging(spark, [("c1", "v", "r1", reply)])
     items = annotate.aspect_work_items(tag).orderBy("pos").collect()
     assert [r.aspect_name for r in items] == ["battery", "Battery", "wifi", "bluetooth"]
-    replies = spark.createDataFrame([("c1", i, "{}") for i in range(4)], "comment_id string, pos int, aspect_json string")
+    replies = spark.createDataFrame([("r1", i, "{}") for i in range(4)], "inference_run_id string, pos int, aspect_json string")
     rows = annotate.prediction_rows(tag, replies).collect()
     assert [a.aspect for a in rows[0].aspects] == ["battery", "battery", "connectivity", "connectivity"]
     assert [a.evidence for a in rows[0].aspects] == ["(alıntı yok)"] * 4
 
 
 def test_run_without_video_keeps_its_aspects(spark):
-    tag = spark.createDataFrame([("c1", None, '{"aspect_names": ["battery"]}')], "comment_id string, video_id string, tagging_json string")
-    replies = spark.createDataFrame([("c1", None, 0, "{}")], "comment_id string, video_id string, pos int, aspect_json string")
+    tag = _tagging(spark, [("c1", None, "r1", '{"aspect_names": ["battery"]}')])
+    replies = spark.createDataFrame([("r1", 0, "{}")], "inference_run_id string, pos int, aspect_json string")
     r = annotate.prediction_rows(tag, replies).collect()
     assert [(x.comment_id, x.video_id, [a.aspect for a in x.aspects], x.had_error) for x in r] == [("c1", None, ["battery"], False)]
 
@@ -223,8 +300,8 @@ def test_dedup_keeps_the_newest_row_of_an_id_and_every_row_without_one(spark):
 
 
 def test_malformed_reply_keeps_row_with_defaults(spark):
-    tag = spark.createDataFrame([("c1", '{"general_sentiment": "pos')], "comment_id string, tagging_json string")
-    replies = spark.createDataFrame([], "comment_id string, pos int, aspect_json string")
+    tag = _tagging(spark, [("c1", "v", "r1", '{"general_sentiment": "pos')])
+    replies = spark.createDataFrame([], "inference_run_id string, pos int, aspect_json string")
     r = annotate.prediction_rows(tag, replies).collect()[0]
     assert (r.general_sentiment, r.topic, r.purchase_intent, r.had_error) == ("neutral", "offtopic", False, True)
     assert r.aspects == []

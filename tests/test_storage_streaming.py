@@ -93,6 +93,153 @@ def test_annotate_stream_labels_each_comment_once(spark, scratch):
     assert set(ins.columns) >= {f.name for f in schemas.COMMENT_INSIGHTS.fields}
 
 
+def test_retried_annotation_batch_and_other_models(spark, scratch):
+    ins_dir = os.path.join(scratch, "ins")
+    cur = spark.createDataFrame([(f"c{i}", "v", "ch", "batarya iyi") for i in range(5)] + [(None, "v", "ch", "x")],
+                                "comment_id string, video_id string, channel_id string, text_clean string")
+    write = incremental.annotate_batch_writer(spark, ins_dir)
+    write(cur, 0)
+    write(cur, 0)                                                 # retried: its own output is no finished work
+    assert spark.read.parquet(ins_dir).count() == 6
+    write(cur, 1)                                                 # delivered again: only the row without id, never found done
+    assert spark.read.parquet(ins_dir).count() == 7
+    incremental.annotate_batch_writer(spark, ins_dir, "other")(cur, 2)
+    rows = spark.read.parquet(ins_dir).groupBy("model_name").count().collect()
+    assert {r["model_name"]: r["count"] for r in rows} == {"lexicon": 7, "other": 6}
+
+
+def test_batch_reads_its_own_buckets_only(spark, scratch):
+    out_dir = os.path.join(scratch, "ins")
+    cur = spark.createDataFrame([(f"c{i}", "v", "ch", "batarya") for i in range(400)], "comment_id string, video_id string, channel_id string, text_clean string")
+    incremental.annotate_batch_writer(spark, out_dir)(cur, 0)
+    batch = cur.where("comment_id in ('c7', 'c8')")
+    seen = incremental.done(batch, out_dir, "comment_id string, model_name string", 1, F.col("model_name") == "lexicon")
+    own = {r[0] for r in batch.select(incremental.bucket("comment_id")).collect()}
+    p = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in p and "bucket" in p.split("PartitionFilters")[1] and "model_name" in p.split("PartitionFilters")[1]
+    files = {int(f.split("bucket=")[1].split("/")[0]) for f in spark.read.parquet(out_dir).inputFiles()}
+    assert len(files) > 150 and seen.select(incremental.bucket("comment_id")).distinct().count() <= len(own) == 2
+    assert annotate.pending_inference(batch, seen, "lexicon").count() == 0
+
+
+def test_anti_joins_shuffle_only_the_new_side(spark, scratch):
+    """Bucketed tables: no exchange of what is stored, also once files of several appends lie there."""
+    from murmur.operators import curate
+    storage.ensure_bucketed(spark, scratch, 8)
+    raw, cur, ins = fx.raw_comments(spark, SF_SMALL), fx.curated(spark, SF_SMALL), fx.insights(spark, SF_SMALL)
+    for part in (0, 1):
+        storage.append_bucketed(cur.where(F.crc32("comment_id") % 2 == part), "core.comments_curated")
+        storage.append_bucketed(ins.where(F.crc32("comment_id") % 2 == part), "ml.comment_insights")
+    storage.ensure_bucketed(spark, scratch, 8)
+    stored, done = storage.read_bucketed(spark, "core.comments_curated"), storage.read_bucketed(spark, "ml.comment_insights")
+    assert stored.schema == schemas.CURATED_COMMENTS and stored.count() == cur.count() and done.count() == ins.count()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pending = curate.pending_curation(raw, stored)
+        p = pending._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in p and p.count("Exchange ") == 1 and "Bucketed: true" in p
+        todo = annotate.pending_inference(stored, done, "m0")
+        p = todo._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in p and "Exchange " not in p and "PartitionFilters: [isnotnull(model_name" in p
+        assert sorted(map(str, pending.collect())) == sorted(map(str, curate.pending_curation(raw, cur).collect()))
+        assert todo.count() == annotate.pending_inference(cur, ins, "m0").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for t in storage.BUCKETED:
+            spark.sql(f"DROP TABLE {storage.bucketed_name(t)}")
+
+
+PENDING = [("c1", "v", "ch", "batarya iyi ses kötü"), ("c2", "v", "ch", "merhaba"), ("c3", "v", "ch", "fail tagging"), ("c3", "v2", "ch", "fail aspect"),
+           (None, "v", "ch", "no id")]
+
+
+def _chain(spark, folder, log, broken=()):
+    """Functions that answer from the messages and note every call in the folder ``log``."""
+    def note(stage, messages):
+        with open(os.path.join(log, stage), "a") as f:
+            f.write(messages[-1]["content"].replace("\n", " ") + "\n")
+
+    def reason(messages):
+        note("reasoning", messages)
+        return "free text, no JSON"
+
+    def tag(messages):
+        note("tagging", messages)
+        text = messages[1]["content"]
+        assert [m["role"] for m in messages] == ["system", "user", "assistant", "user"] and messages[2]["content"] == "free text, no JSON"
+        if "fail tagging" in text and "tagging" in broken:
+            return "{broken"
+        return json.dumps({"general_sentiment": "mixed", "topic": "product_review", "aspect_names": [a for a, w in (("battery", "batarya"), ("audio", "ses"), ("other", "fail")) if w in text]})
+
+    def judge(messages):
+        note("aspect", messages)
+        if "fail aspect" in messages[1]["content"] and "aspect" in broken:
+            raise RuntimeError("model unavailable")
+        return json.dumps({"sentiment": "negative", "evidence": "kötü"})
+
+    return annotate.Chain(spark, folder, reason, tag, judge, "m9", "run1", slices=3)
+
+
+def _calls(log, stage):
+    path = os.path.join(log, stage)
+    return len(open(path).read().splitlines()) if os.path.exists(path) else 0
+
+
+def test_chain_feeds_prediction_rows_and_resumes(spark, scratch):
+    folder, log = os.path.join(scratch, "chain"), scratch
+    pending = spark.createDataFrame(PENDING, "comment_id string, video_id string, channel_id string, text_clean string")
+    first = {(r.comment_id, r.video_id): r for r in _chain(spark, folder, log, ("tagging", "aspect")).run(pending).collect()}
+    assert set(first) == {("c1", "v"), ("c2", "v"), ("c3", "v2"), (None, "v")}
+    assert [(a.aspect, a.sentiment, a.evidence) for a in first["c1", "v"].aspects] == [("battery", "negative", "kötü"), ("audio", "negative", "kötü")]
+    assert first["c3", "v2"].had_error and not first["c1", "v"].had_error and first["c1", "v"].inference_ts is not None
+    assert first["c1", "v"].model_name == "m9" and first["c1", "v"].inference_run_id.startswith("run1-")
+    again = _chain(spark, folder, log)
+    assert [r.error.split(":")[0] for r in again.rejects("tagging").collect()] == ["JSONDecodeError"]
+    assert [r.error for r in again.rejects("aspect").collect()] == ["RuntimeError: model unavailable"]
+    asked = {s: _calls(log, s) for s in ("reasoning", "tagging", "aspect")}
+    assert asked == {"reasoning": 5, "tagging": 4 + 2, "aspect": 2 + 2}
+    more = pending.union(spark.createDataFrame([("c4", "v", "ch", "yeni")], pending.schema))
+    second = {(r.comment_id, r.video_id): r for r in again.run(more).collect()}
+    assert set(second) == set(first) | {("c3", "v"), ("c4", "v")} and not any(r.had_error for r in second.values())
+    # only what had no answer was asked: the failed calls and the new comment
+    assert _calls(log, "reasoning") == 6 and _calls(log, "tagging") == asked["tagging"] + 2 and _calls(log, "aspect") == asked["aspect"] + 2
+    assert again.rejects("tagging").count() == again.rejects("aspect").count() == 0
+    assert again.run(more).count() == 6 and _calls(log, "reasoning") == 6
+
+
+def test_killed_stage_repeats_no_finished_reply(spark, scratch):
+    folder, log = os.path.join(scratch, "chain"), scratch
+    pending = spark.createDataFrame([(f"c{i}", "v", "ch", f"text {i}") for i in range(30)], "comment_id string, video_id string, channel_id string, text_clean string")
+    chain = _chain(spark, folder, log)
+    real = chain.spark
+    writes = {"n": 0}
+
+    class Stop(Exception):
+        pass
+
+    inner = annotate.call
+
+    def dies(*args, **kw):
+        writes["n"] += 1
+        if writes["n"] == 3:          # two of three slices of the first stage are written
+            raise Stop
+        return inner(*args, **kw)
+
+    annotate.call = dies
+    try:
+        chain.run(pending)
+        raise AssertionError
+    except Stop:
+        pass
+    finally:
+        annotate.call = inner
+    done = chain.good("reasoning").count()
+    assert 0 < done < 30 and _calls(log, "reasoning") == done
+    assert _chain(real, folder, log).run(pending).count() == 30
+    assert _calls(log, "reasoning") == 30
+
+
 def test_annotator_hook_retries_and_rejects(spark):
     calls = {"n": 0}
 
