@@ -7,7 +7,10 @@ product in 64-bit integers.  Terms that no query has add nothing to any product,
 are those of the queries' terms only; lengths, N and df are counted over all documents and all terms.
 
 Each task builds ball trees over blocks of its documents: a node knows the centroid c of its vectors and
-their largest distance r from it, so none of them scores above ``<q, c> + |q| * r``.  Trees are
+their largest distance r from it, so none of them scores above ``<q, c> + |q| * r``.  In sparse vectors of
+thousands of terms r is large; a node therefore keeps the radius along each coordinate as well, which
+gives ``<q, c> + <q, r'>``, and the smaller bound holds (on the test table the first alone leaves out under 1 % of
+the scores, both together more than half).  Trees are
 searched best-first for all queries of a block at once; a subtree is left out for the queries whose
 k-th best score so far lies above its bound, and a leaf is scored in integers.  Bounds are
 computed in doubles and rounded up by far more than their error, so that no document is lost; ties
@@ -54,13 +57,15 @@ def terms_of(text: bytes | None) -> list[bytes]:
 
 
 class BallTree:
-    """Nodes over the rows of a sparse matrix (``starts``, ``ids``, ``values``) of ``size`` columns."""
+    """Nodes over the rows of a sparse matrix (``starts``, ``ids``, ``values`` of 0 or more) of ``size`` columns;
+    queries are 0 or more as well."""
 
     def __init__(self, starts: np.ndarray, ids: np.ndarray, values: np.ndarray, size: int, leaf: int = LEAF):
         self.rows = np.arange(len(starts) - 1)
         self.nodes: list[tuple[int, int, int, int]] = []      # first and last row, children (-1: a leaf)
         self.centroids: list[np.ndarray] = []
         self.radii: list[float] = []
+        self.reach: list[np.ndarray] = []          # centroid plus radius of each coordinate (upwards)
         lengths = np.diff(starts)
         norms = np.bincount(np.repeat(self.rows, lengths), values * values, len(lengths)) if len(ids) else np.zeros(len(lengths))
         todo = [(0, len(lengths), -1)]
@@ -85,6 +90,9 @@ class BallTree:
             # what cancels in a distance is at most its terms
             self.radii.append(math.sqrt(float((far + SAFE * (norms[rows] + center @ center)).max())))
             self.nodes.append((lo, hi, -1, -1))
+            reach = np.zeros(size)
+            np.maximum.at(reach, t, v)
+            self.reach.append(reach)
             if parent >= 0:
                 a, b, left, right = self.nodes[parent]
                 self.nodes[parent] = (a, b, me, right) if left < 0 else (a, b, left, me)
@@ -97,8 +105,9 @@ class BallTree:
 
     def bounds(self, node: int, queries: np.ndarray, norms: np.ndarray) -> np.ndarray:
         """No row of the node has a larger inner product with the queries (columns)."""
-        c, r = self.centroids[node], self.radii[node]
-        return (c @ queries + norms * r) + SAFE * norms * (math.sqrt(float(c @ c)) + r) + 1
+        c, r, far = self.centroids[node], self.radii[node], self.reach[node]
+        ball = (c @ queries + norms * r) + SAFE * norms * (math.sqrt(float(c @ c)) + r)
+        return np.minimum(ball, (far @ queries) * (1 + SAFE)) + 1
 
 
 class Best:

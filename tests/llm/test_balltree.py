@@ -89,6 +89,25 @@ def test_bounds_hold_in_every_node():
     assert sorted(tree.rows) == list(range(500))
 
 
+def test_half_of_the_scores_are_left_out_in_a_corpus():
+    """Documents of the test table against its benchmark items."""
+    import pyarrow.parquet as pq
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pydict()["text"]]
+    items = [set(terms(t)) for t in pq.read_table("/root/testdata/sf0.01/benchmark.parquet").to_pydict()["text"]]
+    number = {t: i for i, t in enumerate(sorted(set().union(*items)))}
+    rows = [[(number[w], c) for w, c in Counter(terms(t)).items() if w in number] for t in texts]
+    ids, tf = (np.array([x[k] for r in rows for x in r]) for k in (0, 1))
+    df = np.bincount(ids, minlength=len(number))
+    queries = np.zeros((len(number), len(items)), np.int64)
+    for q, x in enumerate(items):
+        queries[[number[t] for t in x], q] = 1
+    weights = np.array([balltree.weight(len(texts), int(n)) for n in df])
+    best = balltree.Best(len(items), 10)
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    scored = balltree.search(np.arange(len(rows)), starts, ids, 10**9 * tf // (1000 * tf + 800), weights, queries, best)
+    assert scored < 0.6 * len(rows) * len(items), scored / (len(rows) * len(items))
+
+
 def test_subtrees_are_left_out():
     """Two far clusters: queries about one leave the other's subtrees unscored."""
     starts = np.arange(0, 2001 * 4, 4)
