@@ -7,6 +7,7 @@ Arrow strings to Python as UTF-8 bytes without decoding them.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -52,8 +53,10 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(out)
 
 
-#: Spark removes the shuffle files of an execution as it ends, instead of when the driver collects garbage.
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a step is written: Spark removes the shuffle files of an execution as it ends, instead of when the
+#: driver collects garbage; batches for Python are bounded in bytes, as rows may hold whole texts.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -63,12 +66,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/murmur-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP, None)
-    spark.conf.set(_CLEAN_UP, "true")
+    before = {k: spark.conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -84,6 +89,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def give_back() -> None:
+    """Hand free memory of this Python worker back to the system: Spark keeps the worker for later
+    stages, whose own memory comes on top otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):      # another C library
+        pass
+
+
 def text_bytes(col: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without a detour through ``str``."""
     if isinstance(col, pa.ChunkedArray):

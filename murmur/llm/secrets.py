@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ship
+from murmur.llm.common import give_back, ship
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -170,5 +170,6 @@ def redact(docs: DataFrame, rank_file: str, max_ratio: float = 1.9, mark: str =
             cols = b.columns
             cols[place] = pa.array(texts, b.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import Labels, gather, ship, staged, text_bytes, unused
+from murmur.llm.common import Labels, gather, give_back, ship, staged, text_bytes, unused
 from murmur.llm.graph import connected_components
 
 BLOCK = 4096          # fingerprints of one chunk value that are compared inside one task
@@ -65,6 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in text_bytes(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        give_back()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, fp long"))

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ship
+from murmur.llm.common import give_back, ship
 
 _BLANK = re.compile(r"\s")
 
@@ -258,5 +258,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, bounds: Bounds = Bounds()) ->
         for batch in batches:
             p = model.score([_line(t) for t in batch.column(place).to_pylist()])
             yield batch.filter(pa.array(p < 0.5))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
