@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ship, staged
+from murmur.llm.common import give_back, ship, staged
 from murmur.llm.wordids import slices, tokenizers_word_ids
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -52,6 +52,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(lo, hi - lo).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
                     pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, _PIECE))
