@@ -39,7 +39,7 @@ if __name__ == "__main__":
     spark = get_session("local[8]", 8)
     print(f"# Final physical plans ({os.path.basename(sf)}, local[8], AQE on)\n")
     print("Operators of interest, top (output) to bottom (scans).  Broadcasts were chosen by AQE")
-    print("from measured sizes except the language model (explicit, bounded).\n")
+    print("from measured sizes.\n")
     for k in keys:
         nodes = summary(QUERIES[k](spark, sf))
         n_ex = sum(1 for n in nodes if n.startswith("Exchange hashpartitioning") or n.startswith("Exchange rangepartitioning")
