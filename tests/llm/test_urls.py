@@ -5,7 +5,7 @@ import re
 import pyarrow.parquet as pq
 
 from murmur.llm import urls
-from murmur.llm.queries import URL_RULES
+from murmur.llm.queries import QUERIES, URL_RULES
 from tests.conftest import SF_SMALL
 
 
@@ -69,3 +69,12 @@ def test_split_agrees_with_sql(spark):
     df = spark.createDataFrame([(u,) for u in raw], "url string")
     got = df.select(urls.host_of(df.url).alias("h"), urls.path_of(df.url).alias("p")).collect()
     assert [tuple(r) for r in got] == [urls.split(u) for u in raw]
+
+
+def test_registered_rules_are_those_of_the_contract(spark, scratch):
+    said = {("x://org/", "org/"): "allow", ("x://a.org/q", "org/"): "allow", ("x://example.org/es/1", "example.org/es/"): "block",
+            ("x://m.example.org/en/12", "example.org/en/1"): "block", ("x://example.org/en/2", "org/"): "allow",
+            ("x://b.com/fr/", "com/fr/"): "allow", ("x://b.com/de/", "com/de/"): "block"}
+    spark.createDataFrame([(k, url) for k, (url, _) in enumerate(said)], "page_id long, url string").write.parquet(f"{scratch}/pages.parquet")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in QUERIES["op5_url_filter"](spark, scratch).collect()}
+    assert got == {k: (rule, v) for k, ((_, rule), v) in enumerate(said.items())}
