@@ -1,46 +1,141 @@
 """Word n-gram counts per video (bigram / trigram panels).
 
-Per comment, the n-grams come from one native regex call (overlapping
-look-ahead captures anchored at word starts; no self-join, no per-position
-lambda); ``explode`` feeds a hash aggregate keyed on
-(video, n, gram) whose map-side partial aggregation collapses repeats before
-the shuffle, and the per-video top-k is a ``row_number <= k`` window that is
-planned with a partial WindowGroupLimit, so a video with a third of all
-comments still sends at most k rows per (video, n) per task to the last stage.
+One row goes through the shuffle per word position instead of one per n-gram: the words of the largest
+n-gram that starts there, cut where the smaller ones end.  Positions with the same words are
+counted in the task first, over bounded portions of text, so an n-gram that every comment of a
+video holds is sent a few times per task.  They are dealt and sorted by ``BUCKETS`` hashes of video and
+smallest n-gram, those of one portion and hash as the arrays of one row; a pass over the sorted rows counts
+every n-gram by its words and holds one batch and the distinct n-grams of one hash.
+The per-video top-k is a ``row_number <= k`` window that is planned with a partial WindowGroupLimit, so a
+video with a third of all comments still sends at most k rows per (video, n) per task to the last stage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from murmur.functions.text import portions
+from murmur.session import ship_package
 
-def ngram_pattern(n: int) -> str:
-    """Regex whose group 1 is the n words starting at each word of single-spaced text.
+PORTION_BYTES = 4 << 20      # texts whose n-grams are counted together in a task
+BUCKETS = 1 << 16
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 
-    A match starts only at the text start or on a literal space, so the scan
-    never restarts inside a word (or inside a UTF-16 surrogate pair)."""
-    return "(?:^| )(?=([^ ]+" + "( [^ ]+)" * (n - 1) + "))"
 
+def _hashed(values: pa.Array) -> np.ndarray:
+    """A hash of each value, that of NULL last (at index -1)."""
+    return np.array([*(zlib.crc32(str(v).encode("utf-8", "surrogatepass")) for v in values.to_pylist()), 0], np.uint64)
 
-def word_ngrams(text: Column, n: int) -> Column:
-    """All space-joined word n-grams of cleaned text (trimmed, single spaces); one native call."""
-    return F.regexp_extract_all(text, F.lit(ngram_pattern(n)), F.lit(1))
+
+def _joined(words: Sequence[pa.Array]) -> pa.Array:
+    return pc.binary_join_element_wise(*words, " ") if len(words) > 1 else words[0]
+
+
+def _positions(sizes: Sequence[int]):
+    """Per hash the arrays (by, words of the smallest size, words up to the next size or NULL, ..., times) of word positions."""
+    cuts = list(zip([0, *sizes], sizes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in portions(b.column(1), PORTION_BYTES):
+                listed = pc.split_pattern(b.column(1).slice(lo, hi - lo), " ")
+                ends = np.asarray(listed.offsets, np.int64)
+                ends = ends[1:] - ends[0]
+                coded = listed.flatten().dictionary_encode()
+                names, word = coded.dictionary, np.asarray(coded.indices, np.int32)
+                if not len(word):
+                    continue
+                # words left from a position on: up to the end of its text or an empty word
+                place = np.arange(len(word))
+                stops = np.full(len(word) + 1, len(word))
+                stops[ends] = ends
+                empty = np.asarray(pc.equal(names, "").take(coded.indices))
+                stops[:-1][empty] = place[empty]
+                later = np.minimum.accumulate(stops[::-1])[::-1]
+                left = np.where(empty, 0, later[1:] - place)
+                own = np.repeat(np.arange(len(ends)), np.diff(np.append(0, ends)))
+                start = np.flatnonzero(left >= sizes[0])
+                by = b.column(0).slice(lo, hi - lo).dictionary_encode()
+                cols = [np.asarray(pc.fill_null(by.indices, -1), np.int32)[own[start]]]
+                for k in range(sizes[-1]):
+                    size = next(s for s in sizes if s > k)
+                    cols.append(np.where(left[start] >= size, word[np.minimum(start + k, len(word) - 1)], -1).astype(np.int32))
+                keys = [f"k{i}" for i in range(len(cols))]
+                found = pa.table(cols, keys).group_by(keys, use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+                codes = [np.asarray(found[k]) for k in keys]
+                hashed = _hashed(by.dictionary)[codes[0]]
+                of_word = _hashed(names)
+                for c in codes[1:sizes[0] + 1]:
+                    hashed = (hashed ^ (hashed >> np.uint64(29))) * _MULT + of_word[c]
+                bucket = (((hashed ^ (hashed >> np.uint64(32))) * _MULT) >> np.uint64(48)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                bucket = bucket[order]
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+                taken = [pa.array(c[order], mask=c[order] < 0) for c in codes]
+                text = [names.take(t) for t in taken[1:]]
+                offsets = pa.array(np.append(first, len(bucket)).astype(np.int32))
+                arrays = [by.dictionary.take(taken[0]), *(_joined(text[i:j]) for i, j in cuts), found["count_all"].combine_chunks().take(pa.array(order))]
+                row = pa.RecordBatch.from_arrays([pa.array(bucket[first]), *(pa.ListArray.from_arrays(offsets, x) for x in arrays)],
+                                                 ["bucket", "by", *(f"w{j}" for j in sizes), "times"])
+                for k in range(0, row.num_rows, 10_000):
+                    yield row.slice(k, 10_000)
+
+    return run
+
+
+def _counted(sizes: Sequence[int]):
+    """(by, n, gram, count) of rows sorted by their hash."""
+    keys = ["by", *(f"w{j}" for j in sizes)]
+
+    def summed(t: pa.Table, keys: list[str]) -> pa.Table:
+        return t.group_by(keys, use_threads=False).aggregate([("times", "sum")]).rename_columns([*keys, "times"])
+
+    def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        for k, n in enumerate(sizes):
+            part = summed(t.filter(pc.is_valid(t[f"w{n}"])), keys[:k + 2]) if k else summed(t, keys[:2])
+            gram = _joined([part[c].combine_chunks() for c in keys[1:k + 2]])
+            yield from pa.Table.from_arrays([part["by"], pa.array(np.full(len(part), n, np.int32)), gram, part["times"]],
+                                            ["by", "n", "gram", "count"]).to_batches(20_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            many = np.asarray(pc.list_value_length(b.column(1)))
+            t = pa.table([np.repeat(np.asarray(b.column(0)), many), *(c.flatten() for c in b.columns[1:])], ["h", *keys, "times"])
+            if held is not None:
+                t = pa.concat_tables([held, t])
+            h = np.asarray(t["h"])
+            whole = int(np.searchsorted(h, h[-1]))        # the last hash may go on in the next batch
+            if whole:
+                yield from out(t.slice(0, whole))
+            t = t.slice(whole)
+            held = summed(t, ["h", *keys])
+        if held is not None:
+            yield from out(held)
+
+    return run
 
 
 def ngram_counts(comments: DataFrame, sizes: Sequence[int] = (2, 3), text_col: str = "text_clean",
                  by: str = "video_id") -> DataFrame:
     """(by, n, gram, count) over every comment."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-
-    def tag(n: int) -> Column:
-        return F.transform(word_ngrams(t, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
-
-    tagged = F.concat(*[tag(n) for n in sizes])
-    return (comments.select(by, F.inline(tagged))
-            .groupBy(by, "n", "gram").agg(F.count(F.lit(1)).alias("count")))
+    ship_package(comments.sparkSession)
+    sizes = sorted(set(sizes))
+    key = comments.schema[by].dataType.simpleString()
+    words = ", ".join(f"w{n} array<string>" for n in sizes)
+    texts = comments.select(F.col(by).alias("by"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    found = texts.mapInArrow(_positions(sizes), f"bucket int, by array<{key}>, {words}, times array<long>")
+    return (found.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_counted(sizes), f"by {key}, n int, gram string, count long").withColumnRenamed("by", by))
 
 
 def top_ngrams(comments: DataFrame, sizes: Sequence[int] = (2, 3), k: int = 20, text_col: str = "text_clean",
