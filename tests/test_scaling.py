@@ -2,7 +2,9 @@
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from murmur.functions import text
@@ -56,3 +58,29 @@ def test_clean_text_spaces_and_links(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(raw)], "i int, t string")
     got = [r["c"] for r in df.select("i", text.clean_text(F.col("t")).alias("c")).orderBy("i").collect()]
     assert got == ["a b c", "ıi", "see b http://k", "", "&lt; é", "", "httpx://a https:// b"]
+
+
+def test_packed_positions_take_few_bytes_and_keep_every_count():
+    rng = np.random.default_rng(5)
+    names = [f"wörd{k}" for k in range(20_000)]
+    texts = [" ".join(names[k] for k in np.minimum(rng.zipf(1.3, 300), 20_000) - 1) for _ in range(600)]
+    texts += ["a b c", "", None, " a  b c ", "x"] * 3
+    videos = [f"v{i % 7}" if i % 50 else None for i in range(len(texts))]
+    b = pa.RecordBatch.from_arrays([pa.array(videos), pc.fill_null(pa.array(texts), "")], ["by", "text"])
+    want, positions = Counter(), 0
+    for v, t in zip(videos, texts):
+        words = (t or "").split(" ")
+        for n in (2, 3):
+            want.update((v, n, " ".join(words[i:i + n])) for i in range(len(words) - n + 1) if all(words[i:i + n]))
+    for held in (1 << 20, 1000):
+        packed = [r for lo in range(0, b.num_rows, 200) for r in ngrams._packed((2, 3), 256)(iter([b.slice(lo, 200)]))]
+        whole = list(ngrams._packed((2, 3), 256)(iter([b])))
+        sorted_rows = pa.Table.from_batches(packed).sort_by("part").combine_chunks().to_batches(7)
+        before, ngrams.HELD = ngrams.HELD, held
+        try:
+            got = Counter({(v, n, g): c for r in ngrams._counted((2, 3))(iter(sorted_rows)) for v, n, g, c in zip(*(c.to_pylist() for c in r.columns))})
+        finally:
+            ngrams.HELD = before
+        assert got == want
+    positions = sum(r.column(c).nbytes for r in ngrams._positions((2, 3))(iter([b])) for c in range(1, 5))
+    assert sum(r.nbytes for r in whole) < positions / 2
